@@ -1,11 +1,16 @@
 """The subpackage's queries and their SQL."""
 
-from quorate.llm import rk_dedup
+from quorate.llm import chat_format, html_extract, quality_rules, rk_dedup
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.op1,
+    "op3_chat_format": chat_format.op3,
+    "op8_html_extract": html_extract.op8,
     "op9_substring_dedup": rk_dedup.op9,
 }
 
 ORACLES = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op3_chat_format": chat_format.ORACLE,
     "op9_substring_dedup": rk_dedup.ORACLE,
 }
