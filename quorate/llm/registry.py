@@ -1,11 +1,13 @@
 """The subpackage's queries and their SQL."""
 
-from quorate.llm import chat_format, html_extract, quality_rules, rk_dedup, secret_scan
+from quorate.llm import bpe, chat_format, decontam, html_extract, quality_rules, rk_dedup, secret_scan
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op3_chat_format": chat_format.op3,
+    "op4_byte_bpe": bpe.op4,
     "op5_secret_scan": secret_scan.op5,
+    "op6_decontaminate": decontam.op6,
     "op8_html_extract": html_extract.op8,
     "op9_substring_dedup": rk_dedup.op9,
 }
