@@ -83,6 +83,8 @@ def repeated_spans(documents: DataFrame, width: int = 13, gram: int = 5, bits: i
                 h, d = h[order], d[order]
                 at = np.flatnonzero(first_of_runs(h))
                 last = np.append(at[1:], len(h))[: len(at)] - 1
+                back = np.argsort(order[at])  # in document order, which compresses better
+                at, last = at[back], last[back]
                 yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(d[at]), pa.array(d[last])], ["h", "low", "high"])
 
     shared = (
@@ -124,6 +126,9 @@ def repeated_spans(documents: DataFrame, width: int = 13, gram: int = 5, bits: i
                 full = np.flatnonzero(whole & (words.counts >= width))
                 d, s, e = (np.concatenate(x) for x in ((d, full), (s, words.first[full]), (e, words.first[full + 1])))
                 yield _rows(np.zeros(len(d), np.int64), ids[d], keys[d], s - words.first[d], e - words.first[d], known=True)
+                # in document order: ids and keys of neighbours are equal and compress well
+                once = np.flatnonzero(once)
+                once = once[np.argsort(at[once])]
                 yield _rows(h[once].view(np.int64), ids[doc[once]], keys[doc[once]], at[once] - words.first[doc[once]], at[once] - words.first[doc[once]] + width, known=False)
 
     def _rows(h, d, k, s, e, known):
