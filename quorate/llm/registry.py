@@ -1,9 +1,10 @@
 """The subpackage's queries and their SQL."""
 
-from quorate.llm import bpe, chat_format, decontam, html_extract, quality_rules, rk_dedup, secret_scan
+from quorate.llm import bpe, chat_format, decontam, html_extract, ngram_join, quality_rules, rk_dedup, secret_scan
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
+    "op2_ngram_join": ngram_join.op2,
     "op3_chat_format": chat_format.op3,
     "op4_byte_bpe": bpe.op4,
     "op5_secret_scan": secret_scan.op5,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_ngram_join": ngram_join.ORACLE,
     "op3_chat_format": chat_format.ORACLE,
     "op9_substring_dedup": rk_dedup.ORACLE,
 }
