@@ -1,6 +1,6 @@
 """The subpackage's queries and their SQL."""
 
-from quorate.llm import bpe, chat_format, decontam, html_extract, ngram_join, quality_rules, rk_dedup, secret_scan
+from quorate.llm import bpe, chat_format, decontam, html_extract, ngram_join, quality_rules, rk_dedup, sa_dedup, secret_scan
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_decontaminate": decontam.op6,
     "op8_html_extract": html_extract.op8,
     "op9_substring_dedup": rk_dedup.op9,
+    "op10_suffix_dedup": sa_dedup.op10,
 }
 
 ORACLES = {
