@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from quorate.llm.common import chunks
 
-#: Words that one recursive query takes, in bytes, and words kept by a task.
-QUERY_BYTES, KEPT_WORDS = 250_000, 200_000
+#: Words that one recursive query takes, in bytes, and words that a Python worker keeps.
+QUERY_BYTES, KEPT_WORDS = 600_000, 500_000
 
 _ENCODE = """
 WITH RECURSIVE state(w, step, ids) AS (
@@ -128,16 +128,27 @@ class Coder:
         return out
 
 
+_coders: dict[str, Coder] = {}
+
+
+def _coder(name: str, ranks, pattern: str) -> Coder:
+    """The worker's coder for a vocabulary; tasks that run in one Python worker share it and its known words."""
+    if name not in _coders:
+        _coders.clear()
+        _coders[name] = Coder(ranks.value, pattern)
+    return _coders[name]
+
+
 def _run(texts: DataFrame, columns: list[str], path: str, pattern: str, finish, schema: str, arrow: pa.Schema) -> DataFrame:
     spark = texts.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(spark, path))  # one vocabulary file
+    vocabulary = read_ranks(spark, path)  # one file
+    name = hashlib.sha256(repr((pattern, sorted(vocabulary.items()))).encode()).hexdigest()
+    ranks = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = None
         for batch in batches:
             for part in chunks(batch, columns[-1], 4 << 20):
-                coder = coder or Coder(ranks.value, pattern)
-                yield pa.RecordBatch.from_arrays(finish(coder, part), schema=arrow)
+                yield pa.RecordBatch.from_arrays(finish(_coder(name, ranks, pattern), part), schema=arrow)
 
     return texts.select(*columns).mapInArrow(run, schema)
 
