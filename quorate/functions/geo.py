@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,9 +43,6 @@ def usable_points(df, lng: str = "lng", lat: str = "lat", issue: str | None = "s
 
 def wkb_points(df, column: str = "wkb"):
     """Adds lng and lat of little-endian WKB points."""
-    import numpy as np
-    import pandas as pd
-
     def part(start: int):
         @F.pandas_udf("double")
         def read(points: pd.Series) -> pd.Series:

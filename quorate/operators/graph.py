@@ -77,10 +77,11 @@ def link_orphans(df: DataFrame, key: str, parent: str, name: str, rank: str, gro
     return df.join(best.select(F.col("_k").alias(key), "_to"), key, "left").withColumn(parent, F.coalesce(parent, "_to")).drop("_to").select(*df.columns)
 
 
-def cascade_up(df: DataFrame, key: str, parent: str, flag: str, provenance: str, may: Column | None = None, rounds: int = 20) -> DataFrame:
+def cascade_up(df: DataFrame, key: str, parent: str, flag: str, provenance: str, may: Column | None = None, rounds: int = 20, stall: bool = False) -> DataFrame:
     """Rows without the flag get it, with their children's provenance, once a child has it.
 
-    Ends without candidates, with as many as the round before, or after `rounds`.
+    Ends without candidates or after `rounds`; with stall, also when a round
+    has as many candidates as the one before.
     """
     may = F.lit(True) if may is None else may
     before = -1
@@ -88,7 +89,7 @@ def cascade_up(df: DataFrame, key: str, parent: str, flag: str, provenance: str,
         kids = df.where(flag).where(F.col(parent).isNotNull()).groupBy(F.col(parent).alias("_p")).agg(union_of_lists(F.col(provenance)).alias("_by"))
         joined = cut(df.join(kids, F.col(key) == F.col("_p"), "left").withColumn("_new", F.col("_p").isNotNull() & ~F.coalesce(F.col(flag), F.lit(False)) & may))
         n = joined.where("_new").count()
-        if n in (0, before):
+        if n == 0 or stall and n == before:
             break
         before = n
         df = cut(joined.withColumns({flag: F.col("_new") | F.col(flag), provenance: F.when(F.col("_new"), F.col("_by")).otherwise(F.col(provenance))}).select(*df.columns))

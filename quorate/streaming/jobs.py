@@ -35,16 +35,21 @@ def upsert_stream(deltas: DataFrame, table: str, key: str, order: Sequence[Colum
     return deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _timed(events: DataFrame, time: str) -> DataFrame:
+    """Watermarks need a time with a zone; one without is read in the session's."""
+    return events.withColumn(time, F.col(time).cast("timestamp")) if dict(events.dtypes)[time] == "timestamp_ntz" else events
+
+
 def windowed_counts(events: DataFrame, time: str, keys: Sequence[str], width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts in tumbling windows; rows later than `late` are left out of a stream."""
-    return events.withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), *keys, "n")
+    return _timed(events, time).withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), *keys, "n")
 
 
 def sessions(events: DataFrame, time: str, keys: Sequence[str], gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
     """Sessions of each key that end after a gap."""
-    return events.withWatermark(time, late).groupBy(F.session_window(time, gap), *keys).agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n")
+    return _timed(events, time).withWatermark(time, late).groupBy(F.session_window(time, gap), *keys).agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n")
 
 
 def distinct_events(events: DataFrame, key: str, time: str, late: str = "2 hours") -> DataFrame:
     """Each key once, within the watermark."""
-    return events.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    return _timed(events, time).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
