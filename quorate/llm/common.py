@@ -215,18 +215,20 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     Alternates large-star and small-star steps, each a grouped minimum, until
     the edges stop changing; no step holds a component in one place.
     """
+    sums = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before = sums(edges)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        new = written(small)
-        sums = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        done, edges = sums(new) == sums(edges), new
-        if done:
+        edges = written(small)
+        after = sums(edges)
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError("components did not settle; raise rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
