@@ -12,8 +12,9 @@ Texts with the same shingle set are one class, joined once. For the classes:
 * The boundary is the size with the least cost: rows of subsets against rows
   of lists and the false candidates that one common shingle brings.
 
-A list of m sets gives m - 1 star edges, not all pairs. Candidates are checked
-with the whole sets. Further candidates are taken only between sets that are
+A list of m sets gives m - 1 star edges, not all pairs. A sketch of each set
+bounds the overlap of a candidate exactly; what passes is checked with the
+whole sets. Further candidates are taken only between sets that are
 not connected yet: first the rest of the stars, then stars around other
 centres, and last every remaining pair of a list across components. So no
 link between components is lost, and groups of near copies cost their size.
@@ -192,8 +193,38 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
     return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(run, "key long, sid long, n int, hub long, hub_n int")
 
 
-def _whole_sets(docs: DataFrame, width: int, wanted: DataFrame, bits: int) -> DataFrame:
-    """(sid, n, items): 32-bit shingle hashes, sorted, of the wanted sets (and a few more)."""
+def _sketch(hashes: np.ndarray) -> bytes:
+    """How many hashes fall into each of about n / 4 buckets; empty if a count does not fit a byte.
+
+    The sum of the lesser counts of two sketches is never under the overlap.
+    """
+    buckets = 1 << max(4, (len(hashes) // 4).bit_length())
+    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) & (buckets - 1), minlength=buckets)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def _whole(hashes: np.ndarray) -> bytes:
+    return np.sort((hashes >> np.uint64(20)).astype(np.uint32)).tobytes()
+
+
+def _most_common(x: bytes, y: bytes) -> int:
+    """An upper bound of the overlap of two sketched sets."""
+    if not x or not y:
+        return 1 << 62
+    x, y = (np.frombuffer(v, np.uint8) for v in sorted((x, y), key=len))
+    if len(y) > len(x):
+        y = y.reshape(-1, len(x)).sum(0, dtype=np.int64)  # coarser buckets are the low bits
+    return int(np.minimum(x, y).sum(dtype=np.int64))
+
+
+def _common(x: bytes, y: bytes) -> int:
+    low, high = (np.frombuffer(v, np.uint32) for v in sorted((x, y), key=len))
+    at = np.searchsorted(high, low)
+    return int((high[np.minimum(at, len(high) - 1)] == low).sum())
+
+
+def _forms(docs: DataFrame, width: int, wanted: DataFrame, bits: int, form) -> DataFrame:
+    """(sid, n, items): form (a sketch or the whole set) of the wanted sets, and of a few more."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "sid", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,34 +238,35 @@ def _whole_sets(docs: DataFrame, width: int, wanted: DataFrame, bits: int) -> Da
                     s = int(sets.ids[i])
                     if s not in known:
                         known.add(s)
-                        found.append((i, np.sort((sets.hash[ends[i] - sets.counts[i] : ends[i]] >> np.uint64(20)).astype(np.uint32)).tobytes()))
+                        found.append((i, form(sets.hash[ends[i] - sets.counts[i] : ends[i]])))
                 if len(known) > 1_000_000:
                     known.clear()
                 rows = np.array([i for i, _ in found], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(sets.ids[rows].view(np.int64)), pa.array(sets.counts[rows].astype(np.int32)), pa.array([x for _, x in found], pa.binary())], ["sid", "n", "items"])
 
-    return docs.mapInArrow(run, "sid long, n int, items binary")
+    rows = docs.mapInArrow(run, "sid long, n int, items binary")
+    return written(rows.join(wanted.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"]))
+
 
+def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataFrame:
+    """The pairs (a, b) that common, the overlap of two forms, lets link.
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. Members of a large star are dealt to several tasks, each with the centre's set."""
+    Members of a large star are dealt to several tasks, each with the centre's form.
+    """
     fan = pairs.groupBy("a").agg((F.count("*") / 512).cast("int").alias("fan"))
-    members = pairs.join(fan, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("fan") + 1).cast("int")).join(sets.withColumnRenamed("sid", "b"), "b")
-    centres = fan.select("a", F.explode(F.sequence(F.lit(0), "fan")).alias("part")).join(sets.withColumnRenamed("sid", "a"), "a")
+    members = pairs.select("a", "b").join(fan, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("fan") + 1).cast("int")).join(forms.withColumnRenamed("sid", "b"), "b")
+    centres = fan.select("a", F.explode(F.sequence(F.lit(0), "fan")).alias("part")).join(forms.withColumnRenamed("sid", "a"), "a")
     rows = centres.select("a", "part", F.lit(False).alias("member"), F.lit(0).cast("long").alias("b"), "n", "items").unionByName(members.select("a", "part", F.lit(True).alias("member"), "b", "n", "items"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, key, size = None, None, 0
+        centre, key, size = b"", None, 0
         for batch in batches:
             found = []
             for a, part, member, b, n, items in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                items = np.frombuffer(items, np.uint32)
                 if not member:
                     centre, key, size = items, (a, part), n
                 elif key == (a, part):
-                    low, high = (items, centre) if len(items) < len(centre) else (centre, items)
-                    at = np.searchsorted(high, low)
-                    same = int((high[np.minimum(at, len(high) - 1)] == low).sum())
+                    same = min(common(items, centre), n, size)
                     if 100 * same >= percent * (size + n - same):
                         found.append((a, b))
             if found:
@@ -243,7 +275,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.repartition(partitions(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member", "b").mapInArrow(run, "a long, b long")
 
 
-def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, sample: int = 16, heavy: int = 8, bits: int = 24, turns: int = 6) -> DataFrame:
+def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, sample: int = 16, heavy: int = 8, bits: int = 24, turns: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of documents.
 
     A text of fewer than `width` words is one shingle; null, empty or blank
@@ -269,50 +301,60 @@ def similar_components(documents: DataFrame, width: int = 5, percent: int = 80,
     boundary = choose_boundary(histogram, mean_list, percent)
     lists = written(_lists(_postings(docs, width, percent, boundary, often), percent))
     stars = written(lists.where("hub <> sid").groupBy(F.col("hub").alias("a"), F.col("sid").alias("b")).agg(F.count("*").alias("shared")))
-    sets = written(_whole_sets(docs, width, lists.select("sid"), bits).dropDuplicates(["sid"]))
-
-    # first, for each set the centre with which it shares most
-    first = stars.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    links = written(_verified(first, sets, percent))
-    tried = written(first)
-    roots = components(links)
+    sketches = _forms(docs, width, lists.select("sid"), bits, _sketch)
+    none = documents.sparkSession.createDataFrame([], "node long, root long")
+    roots, tried = none, None
 
-    def across(pairs: DataFrame) -> DataFrame:
-        """Pairs between components that were not checked yet."""
+    def rooted(pairs: DataFrame) -> DataFrame:
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-        open_ = pairs.join(ra, "a", "left").join(rb, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-        return open_.join(tried, ["a", "b"], "left_anti")
-
-    def check(pairs: DataFrame) -> bool:
-        nonlocal links, roots, tried
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            return False
-        found = written(_verified(pairs, sets, percent))
-        tried = tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if not found.isEmpty():
-            links = written(links.unionByName(found))
-            roots = components(links)
-        return True
-
-    check(across(stars.select("a", "b")))
+        return pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
+
+    def join(found: DataFrame) -> None:
+        """Joins the components that the found links connect."""
+        nonlocal roots
+        step = components(rooted(found).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        moved = roots.join(step.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+        fresh = step.join(roots.select("node"), "node", "left_anti").select("node", "root")
+        roots = written(moved.unionByName(fresh))
+
+    def check(pairs: DataFrame) -> None:
+        """Links between components among the pairs that were not checked yet."""
+        nonlocal tried
+        pairs = rooted(pairs).where("ra <> rb").select("a", "b").distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        flipped = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        tried = pairs.unionByName(flipped) if tried is None else tried.unionByName(pairs).unionByName(flipped)
+        near = written(_verified(pairs, sketches, percent, _most_common))
+        if near.isEmpty():
+            return
+        whole = _forms(docs, width, near.select(F.explode(F.array("a", "b")).alias("sid")), bits, _whole)
+        # first, for each set the centre that it shares most keys with; then what is left between components
+        best = near.join(stars, ["a", "b"], "left").groupBy("b").agg(F.max(F.struct(F.coalesce("shared", F.lit(0)).alias("shared"), "a")).alias("x")).select("x.a", "b")
+        join(written(_verified(best, whole, percent, _common)))
+        rest = written(rooted(near).where("ra <> rb").select("a", "b").join(best, ["a", "b"], "left_anti"))
+        if not rest.isEmpty():
+            join(written(_verified(rest, whole, percent, _common)))
+
+    check(stars.select("a", "b"))
     turn = 0
     while True:
         # lists that still meet sets of several components
-        rooted = lists.select("key", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
-        rest = written(rooted.join(mixed, "key").select("key", "sid", "n", "root", "hub", "many"))
-        size = rest.agg(F.count("*").alias("rows"), F.sum("many").alias("pairs")).first()
+        placed = lists.select("key", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
+        rest = written(placed.join(mixed, "key").select("key", "sid", "n", "root", "hub", "many"))
+        # pairs across components, before those of several lists are told apart
+        shares = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+        size = shares.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")).first()
         if not size.rows:
             break
-        if size.pairs > 8 * size.rows and turn < turns:  # long lists: stars around other centres first
+        if size.pairs > 16 * size.rows and turn < turns:  # long lists: stars around other centres first
             centres = rest.where("sid = hub").select("key", F.col("sid").alias("a"), F.col("n").alias("an"))
-            check(across(_near(rest.join(centres, "key").where("sid <> a").select("a", "an", F.col("sid").alias("b"), F.col("n").alias("bn")), percent)))
+            check(_near(rest.join(centres, "key").where("sid <> a").select("a", "an", F.col("sid").alias("b"), F.col("n").alias("bn")), percent))
             turn += 1
             continue
         other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("root").alias("rb"))
         pairs = rest.select("key", F.col("sid").alias("a"), F.col("n").alias("an"), "root").join(other, "key").where("a < b and root <> rb")
-        check(across(_near(pairs, percent)))
+        check(_near(pairs, percent))
         break
 
     named = classes.select("sid", "least").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
