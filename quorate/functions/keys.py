@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed value: the domain whose URL namespace the entity keys use.
-NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "www.meso.cloud")
+#: Fixed value: the namespace of entity keys.
+NAMESPACE = uuid.UUID("fb5218eb-4b38-5c1f-9c4e-b798e8616f9a")
 
 
 def uuid5(text: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
