@@ -118,3 +118,18 @@ def invalid_names(df: DataFrame, name: str = "name_clean", rank: str = "rank_cle
         long = long & ~F.col(rank).eqNullSafe("cultivar")
     odd = F.col(name).rlike(r"[^a-z\x20-\x27]")
     return df.withColumn("reason", F.when(long, "words").when(odd, "characters")).where("reason IS NOT NULL")
+
+
+def after_prefix(full: Column, prefix: Column) -> Column:
+    """What follows prefix (an authority after a name); null where full does not start with it or nothing follows."""
+    return F.when(F.startswith(full, prefix), F.nullif(F.trim(F.substring(full, F.length(prefix) + 1, F.length(full))), F.lit("")))
+
+
+def tagged_names(df: DataFrame, key: str, lang: str, name: str, codes: DataFrame, code: str, short: str) -> DataFrame:
+    """(key, names): distinct "language:name" of each key, sorted, with language codes made short.
+
+    Languages without a short code and empty names are left out.
+    """
+    rows = df.join(codes.select(F.col(code).alias("_code"), F.col(short).alias("_short")), F.lower(lang) == F.col("_code"))
+    clean = F.lower(F.trim(name))
+    return rows.where(clean != "").groupBy(key).agg(F.array_sort(F.collect_set(F.concat("_short", F.lit(":"), clean))).alias("names"))

@@ -122,3 +122,9 @@ def match_areas(df: DataFrame, column: str, names: DataFrame, name: str, code: s
     best = pick_one(found, ["area_raw"], [F.col("pass"), F.length("candidate").desc(), F.col("code")]).select("area_raw", "code")
     iso = df.select(F.col(column).alias("area_raw")).distinct().where(F.trim("area_raw").rlike("^[A-Za-z]{2}$"))
     return best.unionByName(iso.join(best, "area_raw", "left_anti").select("area_raw", F.lower(F.trim("area_raw")).alias("code")))
+
+
+def resolve_synonyms(df: DataFrame, column: str, synonyms: DataFrame, synonym: str, accepted: str, out: str) -> DataFrame:
+    """Adds the least accepted key of each synonym; keys that are no synonym stay, and so does the raw column."""
+    one = synonyms.where(F.col(synonym).isNotNull()).groupBy(F.col(synonym).alias("_s")).agg(F.min(accepted).alias("_to"))
+    return df.join(one, F.col(column) == F.col("_s"), "left").withColumn(out, F.coalesce("_to", column)).drop("_s", "_to")

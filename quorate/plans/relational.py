@@ -104,6 +104,32 @@ def validate_long_names(t):
     return text.invalid_names(rows).select("id", "reason")
 
 
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN p_brand END AS authority FROM part")
+def prefix_authority(t):
+    """What follows the name in a longer string."""
+    full = F.when(F.expr("p_partkey % 3 > 0"), F.concat("p_name", F.lit(" "), "p_brand")).otherwise(F.concat(F.lit("x "), "p_name"))
+    return t.part.select("p_partkey", text.after_prefix(full, F.col("p_name")).alias("authority"))
+
+
+@query("""
+SELECT conv_id, string_agg(DISTINCT CASE role WHEN 'user' THEN 'us' ELSE 'as' END || ':' || lower(trim(split_part(text, ' ', 1))), ',' ORDER BY CASE role WHEN 'user' THEN 'us' ELSE 'as' END || ':' || lower(trim(split_part(text, ' ', 1)))) AS names
+FROM conversations WHERE role IN ('user', 'assistant') AND trim(split_part(text, ' ', 1)) <> '' GROUP BY conv_id""")
+def tagged_names(t):
+    """Names with short language codes, as one list for each id."""
+    codes = t.spark.createDataFrame([("user", "us"), ("assistant", "as")], "code string, short string")
+    rows = t.conversations.select("conv_id", "role", F.split_part("text", F.lit(" "), F.lit(1)).alias("name"))
+    return text.tagged_names(rows, "conv_id", "role", "name", codes, "code", "short").select("conv_id", F.array_join("names", ",").alias("names"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(m.best, l_partkey) AS entity FROM lineitem
+LEFT JOIN (SELECT p_partkey + 1 AS s, min(p_partkey) AS best FROM part WHERE p_partkey % 6 = 0 GROUP BY 1) m ON m.s = l_partkey""")
+def resolve_synonyms(t):
+    """Observations of synonyms counted under the accepted key; the raw key stays."""
+    synonyms = t.part.where("p_partkey % 6 = 0").select((F.col("p_partkey") + 1).alias("s"), F.col("p_partkey").alias("a"))
+    return lookup.resolve_synonyms(t.lineitem, "l_partkey", synonyms, "s", "a", "entity").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "entity")
+
+
 # ---- JSON, lists and maps
 
 

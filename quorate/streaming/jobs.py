@@ -17,11 +17,12 @@ def read_deltas(spark: SparkSession, folder: str, schema: str, per_batch: int =
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
 
 
-def upsert_stream(deltas: DataFrame, table: str, key: str, order: Sequence[Column], checkpoint: str) -> StreamingQuery:
+def upsert_stream(deltas: DataFrame, table: str, key: str, order: Sequence[Column], checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Merges each batch into a Parquet table: the newest row of each key wins.
 
     The merge gives the same table when a batch comes again, so a batch that
     was lost half-way is simply repeated; the checkpoint moves on afterwards.
+    every: runs on at that interval ("24 hours"); else what is there is merged once.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
@@ -32,7 +33,7 @@ def upsert_stream(deltas: DataFrame, table: str, key: str, order: Sequence[Colum
         both = fresh.unionByName(stored.join(fresh.select(key), key, "left_semi"))
         rewrite(upsert(stored, both, key, order), table)
 
-    return deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
 
 def _timed(events: DataFrame, time: str) -> DataFrame:
