@@ -160,26 +160,33 @@ class Mixer:
 
 def nats(s: np.ndarray, cells: list[np.ndarray], mixed: np.ndarray, refined: np.ndarray, code: Code) -> np.ndarray:
     """Minus the natural logarithm of each symbol's probability. mixed: tables times weights."""
-    out = np.zeros(len(s))
+    out = np.zeros(len(s), np.float32)
     out[s == 1] = 8 * np.log(2)
-    at = np.arange(len(s), dtype=np.int32)
-    cells = [c.copy() for c in cells]
+    flat, half = refined.ravel(), (0.5 - code.bit).astype(np.float32)
     before = cells[0] // _TREE * _BUCKETS
-    flat = refined.ravel()
+    at = None  # symbols whose path goes on
     for d in range(len(code.node)):
         if d:
-            use = code.length[s] > d
-            at, s, before, cells = at[use], s[use], before[use], [c[use] for c in cells]
-        if not len(at):
-            break
-        node = code.node[d][s]
-        x = mixed[cells[0] + node]
+            use = np.flatnonzero((code.length > d)[s])
+            if not len(use):
+                break
+            at = use if at is None else at.take(use)
+            s, before, cells = s.take(use), before.take(use), [c.take(use) for c in cells]
+        node = code.node[d].take(s)
+        x = mixed.take(cells[0] + node)
         for c in cells[1:]:
-            x += mixed[c + node]
-        x = (x + flat[before + _bucket(x)]) * np.float32(0.5)
-        x *= 1 - 2 * code.bit[d][s]
-        out[at] += np.log1p(np.exp(np.minimum(x, 80)))
-    return out
+            x += mixed.take(c + node)
+        x += flat.take(before + _bucket(x))
+        x *= half[d].take(s)  # half of the sum, turned by the bit
+        np.minimum(x, 80, out=x)
+        np.exp(x, out=x)
+        x += 1
+        np.log(x, out=x)
+        if at is None:
+            out += x
+        else:
+            out[at] += x
+    return out.astype(np.float64)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
