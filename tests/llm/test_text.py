@@ -191,6 +191,25 @@ def test_leaks_and_paraphrases(spark):
     assert decontam.find_leaks(d.limit(0), b).count() == 0 and decontam.find_leaks(d, b.limit(0)).count() == 0
 
 
+def test_short_items_among_words_the_benchmark_lacks(spark):
+    rng = random.Random(9)
+    common = [f"common{i}" for i in range(200)]
+    items = [(i, " ".join(rng.sample(common, rng.randint(8, 12)))) for i in range(20)]
+    rows, want = [(1000 + d, " ".join(rng.choices(common, k=60))) for d in range(300)], set()
+    for d in range(80):
+        i, t = items[d % 20]
+        w = t.split()
+        if d % 2:  # a paraphrase: one word in eight replaced
+            w[1 :: 8] = [f"other{d}x{k}" for k in range(len(w[1 :: 8]))]
+        rare = [f"rare{d}x{k}" for k in range(120)]
+        at = rng.randrange(121)
+        rows.append((d, " ".join(rare[:at] + w + rare[at:])))
+        want.add((d, i))
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.find_leaks(d, b).collect()}
+    assert {x for x in found if x[0] < 1000} == want
+
+
 # ---- language model
 
 
