@@ -133,7 +133,7 @@ def _postings(docs: DataFrame, width: int, percent: int, boundary: int, heavy: n
                 small = n <= boundary
                 longest = int(slack[small].max(initial=-2)) + 2
                 for gap in range(1, longest):  # pairs (i, i + gap) of the prefix with one shingle more
-                    i = np.flatnonzero(small & (place + gap < slack + 2))
+                    i = np.flatnonzero(small & (place + gap < np.minimum(slack + 2, n)))  # a set of one has no pair
                     keys.append(_mix(h[i] * np.uint64(3) ^ _mix(h[i + gap])))
                     owner.append(doc[i])
                 k, d = np.concatenate(keys), np.concatenate(owner)

@@ -81,6 +81,19 @@ def test_join_repeated_ids_and_nulls(spark):
     assert ngram_join.similar_components(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_sets_of_one_shingle_under_a_boundary(spark):
+    import numpy as np
+
+    rng = random.Random(3)
+    for short in ("one", "a b c d e"):
+        texts = [words(rng, 14), short, words(rng, 12), short + " x"[: 2 * (short == "one")]]
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        out = ngram_join._postings(rows, 5, 80, 15, np.zeros(16, np.uint64)).collect()
+        assert {r.n for r in out} == {8, 10}  # a set of one shingle links to its equals only: it has no pair
+        want = sum(p * (p - 1) // 2 for p in (8 - 7 + 2, 10 - 8 + 2))
+        assert len(out) == want
+
+
 def test_boundary_follows_cost():
     assert ngram_join.choose_boundary({10: 1000, 200: 10}, 1.0, 80) == 0
     assert ngram_join.choose_boundary({10: 1000, 200: 10}, 50.0, 80) >= 10
