@@ -4,8 +4,9 @@ Markup is stripped into lines, one for each block element; a removed container
 (menu, advert, form, ...) leaves an empty line. The text lengths of `window`
 consecutive lines are summed; the text surges where that sum reaches the
 threshold and dives where it falls to zero. Lines between a surge and its dive
-stay. Where the page marks its article, lines outside weigh nothing and every
-surge inside counts; otherwise the heaviest stretch is the main text.
+stay, in every stretch: link lines or removed containers may break an article.
+Where the page marks its article, lines outside weigh nothing and every surge
+inside counts.
 """
 
 from __future__ import annotations
@@ -157,11 +158,9 @@ def main_text(html: str, window: int = 3, surge: int = 80) -> list[str]:
         end = k
         while end < len(sums) and sums[end] > 0:
             end += 1
-        found.append((sum(weights[k:end]), k, end))
+        found.append((k, end))
         k = end + 1
-    if not marked:
-        found = [max(found, key=lambda x: (x[0], -x[1]))] if found else []
-    return [text for _, k, end in found for text, _, inside in lines[k:end] if text and (inside or not marked)]
+    return [text for k, end in found for text, _, inside in lines[k:end] if text and (inside or not marked)]
 
 
 def extract_pages(pages: DataFrame, window: int = 3, surge: int = 80) -> DataFrame:

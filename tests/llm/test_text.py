@@ -273,6 +273,14 @@ def test_main_text(html, want):
     assert html_extract.main_text(html) == want
 
 
+@pytest.mark.parametrize("gap", ["<p><a href=x>another page</a></p>" * 3, "<div class='ad'>buy</div><form>mail</form><div class='promo'>buy</div>"])
+def test_unmarked_article_in_two_stretches(gap):
+    first, second = ("first part " * 30).strip(), ("second part " * 10).strip()
+    for a, b in ((first, second), (second, first)):
+        found = html_extract.main_text(f"<body><nav>menu</nav><div><p>{a}</p>{gap}<p>{b}</p></div><div class='footer'>foot</div></body>")
+        assert [x for x in found if x != "another page"] == [a, b]
+
+
 def test_pages_table(spark):
     rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(PAGES)] + [(99, None, None, "x"), (None, "u", "<p>word</p>", "x")]
     out = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
