@@ -1,8 +1,9 @@
 """Language-model scores by online logistic context mixing.
 
 A byte is a path of bits through a Huffman tree made from the training bytes
-(a text ends with a symbol of its own; bytes outside the `symbols` most common
-ones are an escape and eight plain bits). Predictors for each bit look up
+(a text ends with a symbol of its own; every byte of the training texts has
+one, up to 254 of the 256, while valid UTF-8 has 243; a byte that training
+never met is an escape and eight plain bits). Predictors for each bit look up
 the last byte, the last three (hashed) and the word so far (hashed) in tables
 of counts, gathered from all training texts. Their logits are mixed by weights that the tree node gates
 (the bits of the byte read so far), learned online by gradient steps, and the
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from quorate.llm.common import _BYTE, Words, chunks, first_of_runs, partitions, prefix, spans, text_bytes, written
 
 _STEP = 1 << 21
-_TREE = 128  # cells for each context: symbols when counting, nodes when scoring
+_TREE = 128  # least cells for each context: symbols when counting, nodes when scoring; twice as many for over 126 kinds of byte
 #: log2 of the contexts: the last byte, the last three, the word so far.
 ORDERS = (7, 15, 16)
 _STARTS = np.cumsum([0, *(_TREE << o for o in ORDERS)])
@@ -45,12 +46,15 @@ def fold_of(doc_id: Column) -> Column:
 class Code:
     """Symbols, their bits and tree nodes, from the counts of bytes (256) and texts (the end)."""
 
-    def __init__(self, counts: np.ndarray, symbols: int = _TREE):
-        common = np.argsort(-counts[:256], kind="stable")[: symbols - 2]
+    def __init__(self, counts: np.ndarray):
+        self.tree = _TREE if np.count_nonzero(counts[:256]) <= _TREE - 2 else 2 * _TREE
+        self.orders = (self.tree.bit_length() - 1, *ORDERS[1:])
+        self.starts = np.cumsum([0, *(self.tree << o for o in self.orders)])
+        common = np.argsort(-counts[:256], kind="stable")[: self.tree - 2]
         common = common[counts[common] > 0]
         self.symbol = np.full(256, 1, np.uint8)  # 0: end, 1: escape
         self.symbol[common] = np.arange(2, len(common) + 2)
-        self.blank = np.zeros(_TREE, bool)  # symbols that end a word
+        self.blank = np.zeros(self.tree, bool)  # symbols that end a word
         self.blank[[0, *(x for x in self.symbol[[9, 10, 11, 12, 13, 32]].tolist() if x > 1)]] = True
         weight = np.concatenate([[counts[256], counts[:256].sum() - counts[common].sum()], counts[common]]) + 1
         heap: list[tuple[int, int, object]] = [(int(w), i, i) for i, w in enumerate(weight)]
@@ -70,10 +74,10 @@ class Code:
                 nodes += 1
             else:
                 paths[tree] = path
-        self.length = np.zeros(_TREE, np.int64)
+        self.length = np.zeros(self.tree, np.int64)
         depth = max(map(len, paths.values()))
-        self.node, self.bit = np.zeros((depth, _TREE), np.int32), np.zeros((depth, _TREE), np.float32)
-        self.below = np.zeros((2, _TREE, _TREE), np.float32)  # symbol, node: whether the path takes that bit there
+        self.node, self.bit = np.zeros((depth, self.tree), np.int32), np.zeros((depth, self.tree), np.float32)
+        self.below = np.zeros((2, self.tree, self.tree), np.float32)  # symbol, node: whether the path takes that bit there
         for s, path in paths.items():
             self.length[s] = len(path)
             for d, (n, b) in enumerate(path):
@@ -100,20 +104,24 @@ def symbols_of(texts: pa.Array, code: Code) -> tuple[np.ndarray, list[np.ndarray
     two = back(one, one)
     three = back(two, two)
     a, b, c = (x.astype(np.uint32) for x in (one, two, three))
-    triple = ((a | b << np.uint32(7) | c << np.uint32(14)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - ORDERS[1])
+    bits = code.orders[0]
+    triple = ((a | b << np.uint32(bits) | c << np.uint32(2 * bits)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - ORDERS[1])
     gap = code.blank[s]
     begin = np.zeros(len(s), np.int64)
     begin[1:] = np.maximum.accumulate(np.where(gap, np.arange(len(s)) + 1, 0))[:-1]
     word = (spans(prefix(s.astype(np.uint64) + np.uint64(1)), begin, np.arange(len(s))) >> np.uint64(64 - ORDERS[2])).astype(np.uint32)
-    cells = [(x * np.uint32(_TREE) + np.uint32(start)).astype(np.int32) for x, start in zip((a, triple, word), _STARTS, strict=False)]
+    cells = [(x * np.uint32(code.tree) + np.uint32(start)).astype(np.int32) for x, start in zip((a, triple, word), code.starts, strict=False)]
     return s, cells, np.append(0, ends + 1), raw
 
 
 def _tables(counts: np.ndarray, code: Code) -> np.ndarray:
     """Logits of the bit 1 at each (context, node), shrunk to one half where a context is rare."""
-    rows = counts.reshape(-1, _TREE).astype(np.float32)
-    ones, zeros = rows @ code.below[1], rows @ code.below[0]
-    return (np.log(ones + 0.4) - np.log(zeros + 0.4)).ravel()
+    rows = counts.reshape(-1, code.tree)
+    out = np.empty(rows.shape, np.float32)
+    for k in range(0, len(rows), _BLOCK // 4):
+        part = rows[k : k + _BLOCK // 4].astype(np.float32)
+        out[k : k + len(part)] = np.log(part @ code.below[1] + 0.4) - np.log(part @ code.below[0] + 0.4)
+    return out.ravel()
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
@@ -123,10 +131,10 @@ def _bucket(x: np.ndarray) -> np.ndarray:
 class Mixer:
     """Node-gated weights over the orders' logits, and the refinement table."""
 
-    def __init__(self, weights: np.ndarray | None = None, counts: np.ndarray | None = None):
-        self.weights = np.full((_TREE, len(ORDERS)), 0.4, np.float32) if weights is None else weights
-        self.counts = np.zeros((2, _TREE, _BUCKETS)) if counts is None else counts
-        self.steps = np.zeros(_TREE)
+    def __init__(self, weights: np.ndarray | None = None, counts: np.ndarray | None = None, tree: int = _TREE):
+        self.weights = np.full((tree, len(ORDERS)), 0.4, np.float32) if weights is None else weights
+        self.counts = np.zeros((2, tree, _BUCKETS)) if counts is None else counts
+        self.steps = np.zeros(tree)
 
     def refined(self) -> np.ndarray:
         middle = (np.arange(_BUCKETS) - 16) / 2
@@ -137,8 +145,8 @@ class Mixer:
         """Online: each block is predicted with what the blocks before it taught."""
         for k in range(0, len(s), block):
             part = s[k : k + block]
-            before = cells[0][k : k + block] // _TREE
-            at, gradient, seen = np.arange(len(part)), np.zeros((_TREE, len(ORDERS))), np.zeros(_TREE)
+            before = cells[0][k : k + block] // code.tree
+            at, gradient, seen = np.arange(len(part)), np.zeros((code.tree, len(ORDERS))), np.zeros(code.tree)
             for d in range(len(code.node)):
                 at = at[code.length[part[at]] > d]
                 if not len(at):
@@ -149,11 +157,11 @@ class Mixer:
                 x = sum(w[:, i] * z for i, z in enumerate(logits))
                 error = bit - 1 / (1 + np.exp(-x))
                 for i, z in enumerate(logits):
-                    gradient[:, i] += np.bincount(node, error * z, _TREE)
-                seen += np.bincount(node, minlength=_TREE)
+                    gradient[:, i] += np.bincount(node, error * z, code.tree)
+                seen += np.bincount(node, minlength=code.tree)
                 place = before[at] * _BUCKETS + _bucket(x)
                 for b in (0, 1):
-                    self.counts[b] += np.bincount(place[bit == b], minlength=_TREE * _BUCKETS).reshape(_TREE, _BUCKETS)
+                    self.counts[b] += np.bincount(place[bit == b], minlength=code.tree * _BUCKETS).reshape(code.tree, _BUCKETS)
             self.weights += (rate * gradient / (seen[:, None] + 200)).astype(np.float32)
             self.steps += seen
 
@@ -163,7 +171,7 @@ def nats(s: np.ndarray, cells: list[np.ndarray], mixed: np.ndarray, refined: np.
     out = np.zeros(len(s), np.float32)
     out[s == 1] = 8 * np.log(2)
     flat, half = refined.ravel(), (0.5 - code.bit).astype(np.float32)
-    before = cells[0] // _TREE * _BUCKETS
+    before = cells[0] // code.tree * _BUCKETS
     at = None  # symbols whose path goes on
     for d in range(len(code.node)):
         if d:
@@ -219,15 +227,16 @@ def _context_counts(train: DataFrame, code: Code, held: int) -> dict[bool, np.nd
     shared = train.sparkSession.sparkContext.broadcast(code)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [np.zeros(_STARTS[-1], np.uint32) for _ in range(2)]
+        code = shared.value
+        totals = [np.zeros(code.starts[-1], np.uint32) for _ in range(2)]
         for batch in batches:
             for part in chunks(batch, most=4 * _STEP):
                 mine = part.column(2).to_numpy(zero_copy_only=False) == held
-                s, cells, off, _ = symbols_of(part.column(1), shared.value)
+                s, cells, off, _ = symbols_of(part.column(1), code)
                 kind = np.repeat(mine, np.diff(off))
                 for t, use in enumerate((~kind, kind)):
-                    for start, o, c in zip(_STARTS, ORDERS, cells, strict=False):
-                        size = _TREE << o
+                    for start, o, c in zip(code.starts, code.orders, cells, strict=False):
+                        size = code.tree << o
                         totals[t][start : start + size] += np.bincount(c[use] - start + s[use], minlength=size).astype(np.uint32)
         for t, total in enumerate(totals):
             for b in range(0, len(total), _BLOCK):
@@ -243,8 +252,8 @@ def _context_counts(train: DataFrame, code: Code, held: int) -> dict[bool, np.nd
         at = np.flatnonzero(total)
         return pa.table({"held": rows.column("held")[:1], "b": rows.column("b")[:1], "at": pa.array([at.astype(np.uint16).tobytes()]), "n": pa.array([total[at].astype(np.float32).tobytes()])})
 
-    out = {k: np.zeros(_STARTS[-1], np.float32) for k in (False, True)}
-    # the cells' number is fixed by ORDERS
+    out = {k: np.zeros(code.starts[-1], np.float32) for k in (False, True)}
+    # the cells' number is fixed by ORDERS and the code's tree
     for r in train.mapInArrow(run, "held boolean, b int, at binary, n binary").groupBy("held", "b").applyInArrow(add, "held boolean, b int, at binary, n binary").toLocalIterator():
         out[r.held][r.b + np.frombuffer(r.at, np.uint16).astype(np.int64)] = np.frombuffer(r.n, np.float32)
     return out
@@ -255,7 +264,7 @@ def _learned(fold: DataFrame, tables: np.ndarray, code: Code) -> Mixer:
     shared = fold.sparkSession.sparkContext.broadcast((tables.astype(np.float16), code))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, tables = Mixer(), None
+        mixer, tables = Mixer(tree=shared.value[1].tree), None
         for batch in batches:
             for part in chunks(batch, most=_STEP):
                 tables = shared.value[0].astype(np.float32) if tables is None else tables
@@ -266,13 +275,13 @@ def _learned(fold: DataFrame, tables: np.ndarray, code: Code) -> Mixer:
             at = np.flatnonzero(w)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(w[at])], ["i", "x"])
 
-    total = np.zeros(_TREE * (len(ORDERS) + 1 + 2 * _BUCKETS))
+    total = np.zeros(code.tree * (len(ORDERS) + 1 + 2 * _BUCKETS))
     rows = fold.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
     total[rows.column("i").to_numpy()] = rows.column("x").to_numpy()
-    n = _TREE * len(ORDERS)
-    steps = total[n : n + _TREE]
-    weights = np.where(steps[:, None] > 0, total[:n].reshape(_TREE, -1) / np.maximum(steps, 1)[:, None], 0.4)
-    return Mixer(weights.astype(np.float32), total[n + _TREE :].reshape(2, _TREE, _BUCKETS))
+    n = code.tree * len(ORDERS)
+    steps = total[n : n + code.tree]
+    weights = np.where(steps[:, None] > 0, total[:n].reshape(code.tree, -1) / np.maximum(steps, 1)[:, None], 0.4)
+    return Mixer(weights.astype(np.float32), total[n + code.tree :].reshape(2, code.tree, _BUCKETS))
 
 
 def score_documents(documents: DataFrame, held_out: int = 2, inner: int = 6, common: int = 1 << 18) -> DataFrame:
@@ -299,9 +308,9 @@ def score_documents(documents: DataFrame, held_out: int = 2, inner: int = 6, com
     code = Code(bytes_)
     cells = _context_counts(train, code, inner)
     mixer = _learned(train.where(F.col("fold") == inner), _tables(cells[False], code), code)
-    tables = _tables(cells[False] + cells[True], code).reshape(-1, _TREE)
-    for i, start in enumerate(_STARTS[:-1] // _TREE):
-        tables[start : start + (1 << ORDERS[i])] *= mixer.weights[:, i]
+    tables = _tables(cells[False] + cells[True], code).reshape(-1, code.tree)
+    for i, start in enumerate(code.starts[:-1] // code.tree):
+        tables[start : start + (1 << code.orders[i])] *= mixer.weights[:, i]
     model = spark.sparkContext.broadcast((tables.ravel().astype(np.float16), mixer.refined(), code))
 
     def keys_of(raw: np.ndarray, off: np.ndarray) -> np.ndarray:

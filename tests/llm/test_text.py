@@ -253,6 +253,16 @@ def test_model_is_a_distribution_and_learns(spark):
     assert lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string").limit(0)).count() == 0
 
 
+def test_rare_scripts_are_modelled(spark):
+    rng = random.Random(4)
+    common = [chr(c) for c in (*range(33, 127), *(64 * k + c for k in range(2, 10) for c in range(40)))]  # 143 bytes with the space
+    rows = [(i, " ".join("".join(rng.choices(common, k=6)) for _ in range(1000))) for i in range(60)]
+    rare = "".join(chr(0x1C30 + c) for c in (0, 5, 9, 14, 3, 7)) * 4  # bytes that the others lack
+    rows += [(100 + i, rare) for i in range(12)]
+    out = {r.doc_id: r.bits_per_byte for r in lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert max(out[100 + i] for i in range(12)) < 6  # eight bits and an escape for each byte outside the code
+
+
 # ---- HTML
 
 PAGES = [
