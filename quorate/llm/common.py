@@ -142,6 +142,18 @@ def first_of_runs(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can: a Python worker idles beside other stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def scratch(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in spark.checkpoint.dir.
 

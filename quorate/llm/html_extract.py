@@ -1,12 +1,15 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped into lines, one for each block element; a removed container
-(menu, advert, form, ...) leaves an empty line. The text lengths of `window`
+(menu, form, ...) leaves an empty line. The text lengths of `window`
 consecutive lines are summed; the text surges where that sum reaches the
 threshold and dives where it falls to zero. Lines between a surge and its dive
 stay, in every stretch: link lines or removed containers may break an article.
-Where the page marks its article, lines outside weigh nothing and every surge
-inside counts.
+
+What a page says about itself (an article element, a container whose class
+names a sidebar) is a hint that the sums confirm or overrule. Three sets of
+lines are tried in turn: those inside an article and in no container so named,
+all in no such container, all. The first set that surges is the main text's.
 """
 
 from __future__ import annotations
@@ -21,66 +24,81 @@ from pyspark.sql import functions as F
 
 from quorate.llm.common import chunks
 
-_RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|select|math|canvas"
+_RAW = "script|style|noscript|template|textarea|title|iframe|svg|select|canvas"
 _TOKEN = re.compile(
     rf"""<!--(?:.*?-->|>|.*\Z)|<({_RAW})(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(?:.*?</\1\s*+>|.*\Z)|<[!?][^>]*+>|<(/?)([a-z][a-z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)>""",
     re.S | re.I,
 )
 _ATTR = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark math mfrac mi mn mo mroot mrow ms msqrt msub msubsup msup mtext nobr object q rp rt ruby s samp semantics small span strike strong sub sup time tt u var wbr".split())
 _GONE = frozenset("nav footer aside form button dialog menu menuitem head".split())
 _OUTSIDE = frozenset("header".split())
 _KEEP = frozenset("html body article main".split())
+#: One of these among the words of a class, id or role names a container that is not main text.
 _LABELS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar footer "
-    "cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription share sharing social related recommended comment comments commentlist reply replies disqus login signup "
-    "search searchform toolbar pagination pager widget skip".split()
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr "
+    "popup modal newsletter subscribe comment comments commentlist reply replies disqus login signup searchform toolbar pagination pager".split()
 )
+#: These only do if all words are of the three lists or numbers.
+_WEAK = frozenset("banner notice notices subscription share sharing social related recommended search widget skip".split())
+_NEUTRAL = frozenset("area bar block bottom box button buttons center col column container content group header icons inner items left links list main module outer panel posts right row section site slot text title top wrap wrapper".split())
 _OUTSIDE_LABELS = frozenset("header masthead topbar".split())
 _CLOSES = {"li": ("ul", "ol", "menu"), "p": ("div", "section", "article", "main", "body", "td", "blockquote", "li"), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}
 
 
-def _boilerplate(name: str, attrs: str, inside: bool) -> bool:
+_PART = re.compile(r"[^a-z0-9]+")
+
+
+def _boilerplate(name: str, attrs: str, inside: bool) -> int:
+    """0 a container of text, 1 one whose labels say that it is not main text, 2 one to remove."""
     if name in _GONE or name in _OUTSIDE and not inside:
-        return True
+        return 2
     if not attrs.strip() or name in _KEEP:
-        return False
+        return 0
+    labelled = 0
     for m in _ATTR.finditer(attrs):
         key, value = (m[1] or m[5]).lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return 2
         if key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return 2
         if key in ("class", "id", "role"):
-            labels = set(re.split(r"[^a-z0-9]+", value))
-            if labels & _LABELS or not inside and labels & _OUTSIDE_LABELS or key == "role" and labels & {"complementary", "contentinfo", "alert", "dialog"}:
-                return True
-    return False
+            labels = {x for x in _PART.split(value) if x and not x.isdigit()}
+            if key == "role" and labels & {"complementary", "contentinfo", "alert", "dialog"}:
+                return 2
+            if labels & _LABELS or not inside and labels & _OUTSIDE_LABELS or labels & _WEAK and labels <= _WEAK | _NEUTRAL:
+                labelled = 1
+    return labelled
+
 
+#: One block: text, characters of link text, whether an article holds it, whether a labelled container does.
+Line = tuple[str, int, bool, bool]
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, characters of link text, inside an article) of each block; a removed container gives an empty line."""
-    lines: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open elements and whether they are removed
-    gone = inside = links = linked = 0
+
+def lines_of(html: str) -> list[Line]:
+    """The blocks of a page; a removed container gives an empty line."""
+    lines: list[Line] = []
+    stack: list[tuple[str, int]] = []  # open elements and what _boilerplate says of them
+    gone = labelled = inside = links = linked = 0
     parts: list[str] = []
 
     def flush() -> None:
         nonlocal linked
         if parts:
             if text := " ".join("".join(parts).split()):
-                lines.append((text, linked, inside > 0))
+                lines.append((text, linked, inside > 0, labelled > 0))
             parts.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal gone, inside, links
-        name, removed = stack[-1]
-        if removed or name not in _INLINE:
+        nonlocal gone, labelled, inside, links
+        name, kind = stack[-1]
+        if kind or name not in _INLINE:
             flush()
         stack.pop()
-        gone -= removed
+        gone -= kind == 2
+        labelled -= kind == 1
         inside -= name in ("article", "main")
         links -= name == "a"
 
@@ -109,7 +127,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
                 flush()
             continue
         if name in ("article", "main"):  # an unclosed container cannot hold the article
-            while gone:
+            while gone or labelled:
                 pop()
         if name not in _INLINE:
             if not gone:
@@ -127,12 +145,14 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             parts.append(" " if name == "br" else "")
         if name in _VOID or (m[4] or m[7] or "").endswith("/") and name not in _KEEP:
             continue
-        removed = _boilerplate(name, m[4] or m[7] or "", inside > 0)
-        if removed and not gone:
+        kind = _boilerplate(name, m[4] or m[7] or "", inside > 0)
+        if kind and not gone:
             flush()
-            lines.append(("", 0, inside > 0))
-        stack.append((name, removed))
-        gone += removed
+            if kind == 2:
+                lines.append(("", 0, inside > 0, labelled > 0))
+        stack.append((name, kind))
+        gone += kind == 2
+        labelled += kind == 1
         inside += name in ("article", "main")
         links += name == "a"
     text_to(len(html))
@@ -140,16 +160,49 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
+def _blocks(lines: list[Line], marked: bool, labels: bool) -> list[tuple[str, int]]:
+    """Text and weight of each line of a set; containers out of the set side by side are one empty line.
+
+    Mostly linked text weighs nothing. marked: only lines inside an article;
+    labels: only lines in no labelled container.
+    """
+    out: list[tuple[str, int]] = []
+    for text, linked, inside, labelled in lines:
+        if not text or labels and labelled or marked and not inside:
+            if not out or out[-1][0]:
+                out.append(("", 0))
+        else:
+            out.append((text, len(text) if 2 * linked <= len(text) else 0))
+    return out
+
+
+def _sums(blocks: list[tuple[str, int]], window: int) -> list[int]:
+    total, sums = 0, [0] * len(blocks)
+    for k in range(len(blocks) - 1, -1, -1):
+        total += blocks[k][1] - (blocks[k + window][1] if k + window < len(blocks) else 0)
+        sums[k] = total
+    return sums
+
+
 def main_text(html: str, window: int = 3, surge: int = 80) -> list[str]:
-    """The blocks of the main text, in page order."""
+    """The blocks of the main text, in page order.
+
+    A set of lines surges if its greatest sum reaches `surge`, or half of the
+    next set's greatest where that is less. Labels are overruled only on pages
+    without article text: comments can be longer than what they are about.
+    Inside an article that surges every rise starts a stretch; elsewhere a
+    stretch starts where the sum reaches the threshold.
+    """
     lines = lines_of(html)
-    marked = any(inside and text for text, _, inside in lines)
-    weights = [len(text) if not marked and 2 * linked <= len(text) or marked and inside else 0 for text, linked, inside in lines]
-    total, sums = 0, [0] * len(weights)
-    for k in range(len(weights) - 1, -1, -1):
-        total += weights[k] - (weights[k + window] if k + window < len(weights) else 0)
-        sums[k] = total
-    least = 1 if marked else max(1, min(surge, max(sums, default=0) // 2))
+    sets = [_blocks(lines, *x) for x in ((True, True), (False, True), (False, False))]
+    article, plain, every = (max(_sums(x, window), default=0) for x in sets)
+    if article and article >= min(surge, plain // 2):
+        blocks, least = sets[0], 1
+    elif article or plain and plain >= min(surge, every // 2):
+        blocks, least = sets[1], max(1, min(surge, plain // 2))
+    else:
+        blocks, least = sets[2], max(1, min(surge, every // 2))
+    sums = _sums(blocks, window)
     found, k = [], 0
     while k < len(sums):
         if sums[k] < least:
@@ -160,7 +213,7 @@ def main_text(html: str, window: int = 3, surge: int = 80) -> list[str]:
             end += 1
         found.append((k, end))
         k = end + 1
-    return [text for k, end in found for text, _, inside in lines[k:end] if text and (inside or not marked)]
+    return [text for k, end in found for text, _ in blocks[k:end] if text]
 
 
 def extract_pages(pages: DataFrame, window: int = 3, surge: int = 80) -> DataFrame:

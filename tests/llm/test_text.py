@@ -291,6 +291,39 @@ def test_unmarked_article_in_two_stretches(gap):
         assert [x for x in found if x != "another page"] == [a, b]
 
 
+PARAS = [f"paragraph {i} {'words here ' * 12}".strip() for i in range(9)]
+PS = "".join(f"<p>{x}</p>" for x in PARAS)
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<body><nav>m</nav><div>{PS.replace('<p>paragraph 5', '<div class=ad>Buy now</div>' * 4 + '<p>paragraph 5')}</div></body>", PARAS),
+        (f"<body><div class='social-post'>{PS}</div><div class=comments><p>{'nice ' * 40}</p></div></body>", PARAS),
+        (f"<body><div class='newsletter'>{PS}</div></body>", PARAS),  # only the label speaks against it
+        (f"<article><p>top</p><section class='related work'>{PS}</section><div class='related-posts'>x</div></article>", ["top", *PARAS]),
+        ("<article><p>E = <math><mi>m</mi><mo>c</mo></math> ok <object>in words</object></p></article>", ["E = mc ok in words"]),
+        (f"<body><article class=teaser>Read</article><div>{PS}</div></body>", ["Read", *PARAS]),  # the mark does not surge
+        (f"<article><p>short</p><div id=comments>{PS}</div></article>", ["short"]),
+    ],
+)
+def test_labels_and_marks_are_hints(html, want):
+    assert html_extract.main_text(html) == want
+
+
+def test_pages_against_a_plain_reading(spark):
+    """The pages of the tables hold one article without boilerplate inside."""
+    from html import unescape
+
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    out = {r.page_id: r.text for r in html_extract.extract_pages(pages.unionAll(pages)).distinct().collect()}
+    for r in pages.collect():
+        blocks = re.split(r"</?(?:p|h1|ul|li|div)[^>]*>", re.search("<article>(.*?)</article>", r.html, re.S)[1].replace("<br>", " "))
+        text = [" ".join(unescape(re.sub("<[^>]*>", "", x)).split()) for x in blocks]
+        assert out[r.page_id] == "\n\n".join(x for x in text if x)
+    assert html_extract.extract_pages(pages.limit(0)).count() == 0
+
+
 def test_pages_table(spark):
     rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(PAGES)] + [(99, None, None, "x"), (None, "u", "<p>word</p>", "x")]
     out = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
