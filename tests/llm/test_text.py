@@ -95,7 +95,9 @@ def tokenizer():
 
 def test_bpe_equals_the_library(spark, tokenizer):
     path, pattern, library = tokenizer
-    texts = [*ODD, "-" * 2000, " " * 300 + "x", "we'll DON'T", "\x00\x01", "<|endoftext|>"]
+    rng = random.Random(1)
+    runs = [*("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (1999, 2001, 45_000)), "".join(rng.choices("ab", k=9000)), "ab" * 4000, "the" * 3000, "".join(rng.choices("éàüß漢字", k=6000)), "ы" * 20_000]
+    texts = [*ODD, "-" * 2000, " " * 300 + "x", "we'll DON'T", "\x00\x01", "<|endoftext|>", *runs]
     out = {r.doc_id: r for r in bpe.encode_texts(docs(spark, texts), path, pattern, decode=True).collect()}
     for i, t in enumerate(texts):
         assert out[i].ids == library.encode_ordinary(t or "") and bytes(out[i].decoded) == (t or "").encode()
