@@ -178,6 +178,11 @@ def ready(spark: SparkSession) -> None:
         context.setCheckpointDir(folder)
 
 
+def bits_for(rows: int, least: int = 16, most: int = 28) -> int:
+    """Bits of a bitmap in which about one of eight is set; 2 ** most bits (32 MB) at most."""
+    return min(most, max(least, int(8 * rows).bit_length()))
+
+
 def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
     """A bitmap of 2 ** bits bits of the keys' low bits, as packed uint64.
 
@@ -210,25 +215,92 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared checkpoint folder, read back."""
+def _shared_path(spark: SparkSession) -> str:
     import uuid
 
-    spark = df.sparkSession
     ready(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared checkpoint folder, read back."""
+    path = _shared_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
+
+class Tables:
+    """Parquet tables in the shared checkpoint folder that are deleted with the block; its result is written before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = _shared_path(self.spark)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of every node of the edges; root is the least node of its component.
+
+    Each node takes the least root among its neighbours' and then its root's
+    root, until nothing changes.
+    """
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while len(x):
+        low = np.minimum(root[x], root[y])
+        np.minimum.at(root, root[x], low)
+        np.minimum.at(root, root[y], low)
+        while True:
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root = up
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    return nodes, nodes[root]
+
+
+def components(links: DataFrame, tables: Tables, local: int = 4_000_000, rounds: int = 40) -> DataFrame:
     """(node, root) for every node of the links (a, b); root is the least node of its component.
 
-    Alternates large-star and small-star steps, each a grouped minimum, until
-    the edges stop changing; no step holds a component in one place.
+    Tasks of at most about `local` links each contract what they have to
+    stars; if there is one such task, that is the result. Otherwise large-star
+    and small-star steps, each a grouped minimum, go on until the edges stop
+    changing; no step holds a component in one place.
     """
+    edges = tables.written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    tasks = -(-edges.count() // local)
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [batch for batch in batches if batch.num_rows]
+        if rows:
+            both = pa.Table.from_batches(rows)
+            node, root = forest(*(both.column(i).to_numpy() for i in range(2)))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["node", "root"])
+
+    stars = edges.coalesce(max(1, tasks)).mapInArrow(contract, "node long, root long")
+    if tasks <= 1:
+        return tables.written(stars)
     sums = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = tables.written(stars.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     before = sums(edges)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -236,7 +308,7 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        edges = written(small)
+        edges = tables.written(small)
         after = sums(edges)
         if after == before:
             break

@@ -9,15 +9,16 @@ Texts with the same shingle set are one class, joined once. For the classes:
   with k = 2; two small sets that link have a subset in common.
 * Large sets write inverted lists of their prefix with k = 1, which are
   scanned. Sets over t * boundary do so too, so that small meets large.
-* The boundary is the size with the least cost: rows of subsets against rows
-  of lists and the false candidates that one common shingle brings.
+* The boundary is the size with the least cost: rows written, and candidates
+  that they bring at `edge_cost` rows each. Both are measured by writing the
+  lists and the subsets of a sample of the sets.
 
 A list of m sets gives m - 1 star edges, not all pairs. A sketch of each set
 bounds the overlap of a candidate exactly; what passes is checked with the
 whole sets. Further candidates are taken only between sets that are
-not connected yet: first the rest of the stars, then stars around other
-centres, and last every remaining pair of a list across components. So no
-link between components is lost, and groups of near copies cost their size.
+not connected yet: stars around other centres while that joins components, and
+last every remaining pair of a list across components. So no link between
+components is lost, and groups of near copies cost their size.
 """
 
 from __future__ import annotations
@@ -30,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Words, _mix, bitmap, chunks, components, first_of_runs, hits, partitions, prefix, spans, written
+from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, spans, written
 
 _STEP = 4 << 20
-#: Sizes over this are never small: their subsets outnumber any list.
-_MOST_SMALL = 256
+#: Sizes over this are measured as one, as lists only.
+_MOST_MEASURED = 256
 
 
 class Sets:
@@ -68,37 +69,57 @@ def _docs(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _heavy(docs: DataFrame, width: int, share: int, least: int, bits: int) -> tuple[np.ndarray, float]:
-    """Bitmap of shingles that occur often, counted in the sets whose id is divisible by share, and the mean list of the others."""
+def _ordered(doc: np.ndarray, h: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of each set in the global order: light shingles, then heavy ones, each by hash."""
+    order = np.lexsort((_mix(h), hits(heavy, h), doc))
+    return doc[order], h[order]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, most=_STEP):
-                sets = Sets(part.column(1), width)
-                _, once = np.unique(sets.ids, return_index=True)
-                use = np.zeros(len(sets.ids), bool)
-                use[once] = True
-                use &= sets.ids % np.uint64(share) == 0
-                h, n = np.unique(sets.hash[use[sets.doc]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    counts = docs.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    kept = written(counts.where(F.col("n") > 1))
-    light = kept.where(F.col("n") < least).agg(F.coalesce(F.avg("n"), F.lit(1.0))).first()[0]
-    return bitmap(kept.where(F.col("n") >= least), "h", bits), float(light)
+def _list_rows(place: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    return place < n - _need(n, percent) + 1
 
 
-def choose_boundary(sizes: dict[int, int], mean_list: float, percent: int) -> int:
-    """The set size up to which enumerating 2-subsets costs less than scanning lists."""
+def _subset_rows(h: np.ndarray, place: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the first and keys of each pair of the prefix with one shingle more; a set of one has no pair."""
+    reach = np.minimum(n - _need(n, percent) + 2, n)
+    for gap in range(1, int(reach.max(initial=0))):
+        i = np.flatnonzero(place + gap < reach)
+        yield i, _mix(h[i] * np.uint64(3) ^ _mix(h[i + gap]))
+
+
+def _measured(sample: DataFrame, percent: int, heavy: np.ndarray) -> list[tuple[bool, int, int, float]]:
+    """(subsets, size, rows, star edges) of the sample's lists and subsets by the size of the set."""
+    shared = sample.sparkSession.sparkContext.broadcast(heavy)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            n = np.array([len(x) for x in sets], np.int64)
+            doc, h = _ordered(np.repeat(np.arange(len(n)), n), np.concatenate([*sets, np.zeros(0, np.uint64)]), shared.value)
+            place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            n = n[doc]
+            one = np.flatnonzero(_list_rows(place, n, percent))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(one), bool)), pa.array(h[one].view(np.int64)), pa.array(np.minimum(n[one], _MOST_MEASURED).astype(np.int32))], ["subsets", "key", "n"])
+            small = n < _MOST_MEASURED
+            for i, key in _subset_rows(h[small], place[small], n[small], percent):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(i), bool)), pa.array(key.view(np.int64)), pa.array(n[small][i].astype(np.int32))], ["subsets", "key", "n"])
+
+    keys = sample.mapInArrow(run, "subsets boolean, key long, n int").groupBy("subsets", "key", "n").agg(F.count("*").alias("c"))
+    sizes = keys.groupBy("subsets", "key").agg(F.sum("c").alias("m"), F.collect_list(F.struct("n", "c")).alias("x"))  # 256 sizes at most
+    return [tuple(r) for r in sizes.select("subsets", "m", F.explode("x").alias("x")).groupBy("subsets", "x.n").agg(F.sum("x.c"), F.sum(F.col("x.c") * (F.col("m") - 1) / F.col("m"))).collect()]  # 512 rows at most
+
+
+def choose_boundary(measured: list[tuple[bool, int, int, float]], share: int, percent: int, edge_cost: float) -> int:
+    """The set size up to which enumerating 2-subsets costs least, with what larger sets' lists then cost.
+
+    A set of the sample stands for `share` sets and so meets `share` times the partners.
+    """
+    costs: dict[bool, dict[int, float]] = {False: {}, True: {}}
+    for subsets, n, rows, edges in measured:
+        costs[subsets][n] = rows + edge_cost * min(rows, share * edges)
     best, best_cost = 0, math.inf
-    for x in [0, *sorted(s for s in sizes if s < _MOST_SMALL)]:
-        cost = 0.0
-        for n, many in sizes.items():
-            p = n - int(_need(np.int64(n), percent)) + 1
-            if n <= x:
-                cost += many * (p + 1) * p / 2
-            if 100 * n > percent * x:
-                cost += many * p * (1 + (mean_list - 1) * n / 16)
+    for x in [0, *sorted(costs[True])]:
+        cost = sum(c for n, c in costs[True].items() if n <= x) + sum(c for n, c in costs[False].items() if 100 * n > percent * x)
         if cost < best_cost:
             best, best_cost = x, cost
     return best
@@ -121,21 +142,16 @@ def _postings(docs: DataFrame, width: int, percent: int, boundary: int, heavy: n
                 if len(known) > 1_000_000:
                     known.clear()
                 use = fresh[sets.doc]
-                doc, h = sets.doc[use], sets.hash[use]
-                order = np.lexsort((_mix(h), hits(shared.value, h), doc))
-                doc, h = doc[order], h[order]
+                doc, h = _ordered(sets.doc[use], sets.hash[use], shared.value)
                 n = sets.counts[doc]
                 counts = np.where(fresh, sets.counts, 0)
                 place = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-                slack = n - _need(n, percent)
-                one = (place < slack + 1) & (100 * n > percent * boundary)
+                one = np.flatnonzero(_list_rows(place, n, percent) & (100 * n > percent * boundary))
                 keys, owner = [h[one]], [doc[one]]
                 small = n <= boundary
-                longest = int(slack[small].max(initial=-2)) + 2
-                for gap in range(1, longest):  # pairs (i, i + gap) of the prefix with one shingle more
-                    i = np.flatnonzero(small & (place + gap < np.minimum(slack + 2, n)))  # a set of one has no pair
-                    keys.append(_mix(h[i] * np.uint64(3) ^ _mix(h[i + gap])))
-                    owner.append(doc[i])
+                for i, key in _subset_rows(h[small], place[small], n[small], percent):
+                    keys.append(key)
+                    owner.append(doc[small][i])
                 k, d = np.concatenate(keys), np.concatenate(owner)
                 back = np.argsort(d, kind="stable")  # neighbours of one set compress well
                 k, d = k[back], d[back]
@@ -203,10 +219,6 @@ def _sketch(hashes: np.ndarray) -> bytes:
     return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
 
 
-def _whole(hashes: np.ndarray) -> bytes:
-    return np.sort((hashes >> np.uint64(20)).astype(np.uint32)).tobytes()
-
-
 def _most_common(x: bytes, y: bytes) -> int:
     """An upper bound of the overlap of two sketched sets."""
     if not x or not y:
@@ -218,45 +230,54 @@ def _most_common(x: bytes, y: bytes) -> int:
 
 
 def _common(x: bytes, y: bytes) -> int:
-    low, high = (np.frombuffer(v, np.uint32) for v in sorted((x, y), key=len))
+    """The overlap of two sets of 64-bit hashes in ascending order."""
+    low, high = (np.frombuffer(v, np.uint64) for v in sorted((x, y), key=len))
     at = np.searchsorted(high, low)
     return int((high[np.minimum(at, len(high) - 1)] == low).sum())
 
 
-def _forms(docs: DataFrame, width: int, wanted: DataFrame, bits: int, form) -> DataFrame:
-    """(sid, n, items): form (a sketch or the whole set) of the wanted sets, and of a few more."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "sid", bits))
+def _row_key(sid: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    return _mix(sid ^ _mix(doc_id.astype(np.uint64)))
+
+
+def _forms(docs: DataFrame, width: int, wanted: DataFrame, bits: int) -> DataFrame:
+    """(sid, sketch, items) of the wanted sets (sid, least), read from the document that has the least id."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sid, least = (batch.column(i).fill_null(-1).to_numpy(zero_copy_only=False) for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(_row_key(sid.view(np.uint64), least).view(np.int64))], ["key"])
+
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.mapInArrow(keys, "key long"), "key", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
         for batch in batches:
             for part in chunks(batch, most=_STEP):
                 sets = Sets(part.column(1), width)
                 ends = np.cumsum(sets.counts)
-                found = []
-                for i in np.flatnonzero(hits(shared.value, sets.ids) & (sets.counts > 0)).tolist():
-                    s = int(sets.ids[i])
-                    if s not in known:
-                        known.add(s)
-                        found.append((i, form(sets.hash[ends[i] - sets.counts[i] : ends[i]])))
-                if len(known) > 1_000_000:
-                    known.clear()
-                rows = np.array([i for i, _ in found], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(sets.ids[rows].view(np.int64)), pa.array(sets.counts[rows].astype(np.int32)), pa.array([x for _, x in found], pa.binary())], ["sid", "n", "items"])
+                ids = part.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
+                rows = np.flatnonzero(hits(shared.value, _row_key(sets.ids, ids)) & (sets.counts > 0))
+                whole = [sets.hash[ends[i] - sets.counts[i] : ends[i]] for i in rows.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(sets.ids[rows].view(np.int64)), pa.array([_sketch(x) for x in whole], pa.binary()), pa.array([x.tobytes() for x in whole], pa.binary())], ["sid", "sketch", "items"])
 
-    rows = docs.mapInArrow(run, "sid long, n int, items binary")
-    return written(rows.join(wanted.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"]))
+    return docs.mapInArrow(run, "sid long, sketch binary, items binary").join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
 
 
 def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataFrame:
-    """The pairs (a, b) that common, the overlap of two forms, lets link.
+    """The pairs (a, an, b, bn) of sets and sizes that common, the overlap of two forms (sid, items), lets link.
 
     Members of a large star are dealt to several tasks, each with the centre's form.
     """
-    fan = pairs.groupBy("a").agg((F.count("*") / 512).cast("int").alias("fan"))
-    members = pairs.select("a", "b").join(fan, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("fan") + 1).cast("int")).join(forms.withColumnRenamed("sid", "b"), "b")
-    centres = fan.select("a", F.explode(F.sequence(F.lit(0), "fan")).alias("part")).join(forms.withColumnRenamed("sid", "a"), "a")
-    rows = centres.select("a", "part", F.lit(False).alias("member"), F.lit(0).cast("long").alias("b"), "n", "items").unionByName(members.select("a", "part", F.lit(True).alias("member"), "b", "n", "items"))
+    spark = pairs.sparkSession
+    fans = pairs.groupBy("a").agg((F.count("*") / 512).cast("int").alias("fan")).where("fan > 0")
+    if (large := fans.count()) <= 100_000:  # else Spark chooses, and splits skewed keys
+        fans = F.broadcast(fans)
+    dealt = pairs.join(fans, "a", "left") if large else pairs.withColumn("fan", F.lit(0))
+    dealt = dealt.withColumn("fan", F.coalesce("fan", F.lit(0))).withColumn("part", F.pmod(F.xxhash64("b"), F.col("fan") + 1).cast("int"))
+    # a centre's form is copied to its parts before it meets the members
+    copies = dealt.groupBy("a", "part").agg(F.first("an").alias("n")).join(forms.withColumnRenamed("sid", "a"), "a")
+    members = dealt.select("a", "part", F.lit(True).alias("member"), "b", F.col("bn").alias("n")).join(forms.withColumnRenamed("sid", "b"), "b")
+    rows = copies.select("a", "part", F.lit(False).alias("member"), F.lit(0).cast("long").alias("b"), "n", "items").unionByName(members.select("a", "part", "member", "b", "n", "items"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, key, size = b"", None, 0
@@ -268,14 +289,14 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataF
                 elif key == (a, part):
                     same = min(common(items, centre), n, size)
                     if 100 * same >= percent * (size + n - same):
-                        found.append((a, b))
+                        found.append((a, size, b, n))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.int32()) * 2)], ["a", "an", "b", "bn"])
 
-    return rows.repartition(partitions(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member", "b").mapInArrow(run, "a long, b long")
+    return rows.repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", "member", "b").mapInArrow(run, "a long, an int, b long, bn int")
 
 
-def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, sample: int = 16, heavy: int = 8, bits: int = 24, turns: int = 3) -> DataFrame:
+def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, share: int = 16, heavy: int = 8, edge_cost: float = 8.0, boundary: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of documents.
 
     A text of fewer than `width` words is one shingle; null, empty or blank
@@ -283,90 +304,93 @@ def similar_components(documents: DataFrame, width: int = 5, percent: int = 80,
     that links reach. Rows of one doc_id with different texts are documents
     of their own under that id. Rows without doc_id are members, but name a
     component only where no member has an id (null). Further columns are
-    ignored. Sets are told apart by 64-bit hashes and checked by 32-bit
-    shingle hashes.
+    ignored. Sets and their shingles are told apart by 64-bit hashes.
+
+    share: heavy shingles (`heavy` times in it) and the costs are counted in
+    the sets whose id is divisible by share; they decide what is cheap, never
+    what links. boundary: the largest small set, instead of the measured one.
     """
-    docs = _docs(documents)
+    with Tables(documents.sparkSession) as tables:
+        return written(_components_of(_docs(documents), tables, width, percent, share, heavy, edge_cost, boundary))
+
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, share: int, heavy: int, edge_cost: float, boundary: int | None) -> DataFrame:
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, most=_STEP):
                 sets = Sets(part.column(1), width)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.counts.astype(np.int64)), pa.array(sets.ids.view(np.int64))], ["doc_id", "n_shingles", "sid"])
-
-    members = written(docs.mapInArrow(sizes, "doc_id long, n_shingles long, sid long"))
-    classes = members.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
-    histogram = {r.size: r.many for r in classes.groupBy(F.least("n", F.lit(_MOST_SMALL)).alias("size")).agg(F.count("*").alias("many")).collect()}  # 256 rows at most
-    often, mean_list = _heavy(docs, width, sample, heavy, bits)
-    boundary = choose_boundary(histogram, mean_list, percent)
-    lists = written(_lists(_postings(docs, width, percent, boundary, often), percent))
-    stars = written(lists.where("hub <> sid").groupBy(F.col("hub").alias("a"), F.col("sid").alias("b")).agg(F.count("*").alias("shared")))
-    sketches = _forms(docs, width, lists.select("sid"), bits, _sketch)
-    none = documents.sparkSession.createDataFrame([], "node long, root long")
-    roots, tried = none, None
-
-    def rooted(pairs: DataFrame) -> DataFrame:
-        ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-        return pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
+                ends = np.cumsum(sets.counts)
+                use = (sets.ids % np.uint64(share) == 0) & (sets.counts > 0)
+                items = [sets.hash[e - n : e].tobytes() if u else None for u, e, n in zip(use.tolist(), ends.tolist(), sets.counts.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.counts.astype(np.int64)), pa.array(sets.ids.view(np.int64)), pa.array(items, pa.binary())], ["doc_id", "n_shingles", "sid", "items"])
 
-    def join(found: DataFrame) -> None:
-        """Joins the components that the found links connect."""
+    first = tables.written(docs.mapInArrow(first_pass, "doc_id long, n_shingles long, sid long, items binary"))
+    members = first.select("doc_id", "n_shingles", "sid")
+    classes = members.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
+    sample = tables.written(first.where("items IS NOT NULL").select("sid", "items").dropDuplicates(["sid"]))
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
+
+    often = tables.written(sample.select("items").mapInArrow(shingles, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= heavy))
+    often = bitmap(often, "h", bits_for(often.count()))
+    if boundary is None:
+        boundary = choose_boundary(_measured(sample, percent, often), share, percent, edge_cost)
+    lists = tables.written(_lists(_postings(docs, width, percent, boundary, often), percent))
+    wanted = tables.written(classes.join(lists.select("sid").distinct(), "sid", "left_semi"))
+    forms = tables.written(_forms(docs, width, wanted, bits_for(wanted.count())))
+    sketches, wholes = forms.select("sid", F.col("sketch").alias("items")), forms.select("sid", "items")
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+
+    def check(pairs: DataFrame) -> bool:
+        """Joins the components that links among the pairs connect; whether there were any."""
         nonlocal roots
-        step = components(rooted(found).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+        rooted = lambda df: df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
+        near = tables.written(_verified(tables.written(rooted(pairs).where("ra <> rb").select("a", "an", "b", "bn")), sketches, percent, _most_common))
+        links = tables.written(rooted(_verified(near, wholes, percent, _common)).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        if links.isEmpty():
+            return False
+        step = components(links, tables)
         moved = roots.join(step.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
         fresh = step.join(roots.select("node"), "node", "left_anti").select("node", "root")
-        roots = written(moved.unionByName(fresh))
-
-    def check(pairs: DataFrame) -> None:
-        """Links between components among the pairs that were not checked yet."""
-        nonlocal tried
-        pairs = rooted(pairs).where("ra <> rb").select("a", "b").distinct()
-        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        flipped = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        tried = pairs.unionByName(flipped) if tried is None else tried.unionByName(pairs).unionByName(flipped)
-        near = written(_verified(pairs, sketches, percent, _most_common))
-        if near.isEmpty():
-            return
-        whole = _forms(docs, width, near.select(F.explode(F.array("a", "b")).alias("sid")), bits, _whole)
-        # first, for each set the centre that it shares most keys with; then what is left between components
-        best = near.join(stars, ["a", "b"], "left").groupBy("b").agg(F.max(F.struct(F.coalesce("shared", F.lit(0)).alias("shared"), "a")).alias("x")).select("x.a", "b")
-        join(written(_verified(best, whole, percent, _common)))
-        rest = written(rooted(near).where("ra <> rb").select("a", "b").join(best, ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            join(written(_verified(rest, whole, percent, _common)))
-
-    check(stars.select("a", "b"))
-    turn = 0
+        roots = tables.written(moved.unionByName(fresh))
+        return True
+
+    check(lists.where("hub <> sid").select(F.col("hub").alias("a"), F.col("hub_n").alias("an"), F.col("sid").alias("b"), F.col("n").alias("bn")).distinct())
+    before, turn = math.inf, 0
     while True:
         # lists that still meet sets of several components
         placed = lists.select("key", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
-        rest = written(placed.join(mixed, "key").select("key", "sid", "n", "root", "hub", "many"))
+        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n"), F.xxhash64("sid", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
+        rest = tables.written(placed.join(mixed, "key").select("key", "sid", "n", "root", "hub"))
         # pairs across components, before those of several lists are told apart
         shares = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
         size = shares.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")).first()
         if not size.rows:
             break
-        if size.pairs > 16 * size.rows and turn < turns:  # long lists: stars around other centres first
-            centres = rest.where("sid = hub").select("key", F.col("sid").alias("a"), F.col("n").alias("an"))
-            check(_near(rest.join(centres, "key").where("sid <> a").select("a", "an", F.col("sid").alias("b"), F.col("n").alias("bn")), percent))
-            turn += 1
+        # long lists: stars around other centres first, as long as they spare a quarter of the pairs
+        if size.pairs > 16 * size.rows and size.pairs <= 0.75 * before:
+            stars = rest.where("sid <> hub.sid").select(F.col("hub.sid").alias("a"), F.col("hub.n").alias("an"), F.col("sid").alias("b"), F.col("n").alias("bn"))
+            check(_near(stars, percent))
+            before, turn = size.pairs, turn + 1
             continue
         other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("root").alias("rb"))
         pairs = rest.select("key", F.col("sid").alias("a"), F.col("n").alias("an"), "root").join(other, "key").where("a < b and root <> rb")
         check(_near(pairs, percent))
         break
 
-    named = classes.select("sid", "least").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    named = classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     best = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    # only classes with a name other than their one document's need a join
     own = named.join(best, "root").select("sid", "component_id")
     return members.join(own, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def _near(pairs: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs whose sizes allow a link."""
-    return pairs.where(percent * F.greatest("an", "bn").cast("long") <= 100 * F.least("an", "bn").cast("long")).select("a", "b").distinct()
+    return pairs.where(percent * F.greatest("an", "bn").cast("long") <= 100 * F.least("an", "bn").cast("long")).select("a", "an", "b", "bn").distinct()
 
 
 def op2(spark, sf_dir) -> DataFrame:

@@ -57,7 +57,7 @@ def brute_components(rows, width=5, percent=80):
     return {d: (len(sets[d]), find(d)) for d in ids}
 
 
-@pytest.mark.parametrize("options", [{}, {"heavy": 2, "sample": 1}, {"turns": 0}])
+@pytest.mark.parametrize("options", [{}, {"heavy": 2, "share": 1}, {"boundary": 0}, {"boundary": 40}, {"boundary": 10**6}])
 def test_join_equals_all_pairs(spark, corpus, options):
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_components(frame(spark, corpus), **options).collect()}
     assert out == brute_components(corpus)
@@ -95,15 +95,35 @@ def test_sets_of_one_shingle_under_a_boundary(spark):
 
 
 def test_boundary_follows_cost():
-    assert ngram_join.choose_boundary({10: 1000, 200: 10}, 1.0, 80) == 0
-    assert ngram_join.choose_boundary({10: 1000, 200: 10}, 50.0, 80) >= 10
+    rows = [(False, 10, 30, 0.0), (False, 13, 3, 0.0), (False, 200, 410, 0.0), (True, 10, 60, 0.0), (True, 13, 6, 0.0), (True, 200, 8000, 0.0)]
+    assert ngram_join.choose_boundary(rows, 16, 80, 8.0) == 0  # lists meet nobody
+    rows[0] = (False, 10, 30, 20.0)
+    assert ngram_join.choose_boundary(rows, 16, 80, 8.0) == 13  # sets of 13 write lists too, those of 10 only subsets
 
 
-def test_components(spark):
+def test_both_paths_run_on_the_documents(spark):
+    """The measured boundary puts some classes on each path."""
+    from quorate.llm.common import Tables
+
+    docs = ngram_join._docs(spark.read.parquet(f"{DATA}/documents.parquet"))
+    want = {(r.doc_id, r.component_id) for r in ngram_join.similar_components(docs).collect()}
+    sizes = [r.n_shingles for r in ngram_join.similar_components(docs).collect()]
+    for boundary in (0, 15, 10**6):
+        assert any(n > boundary for n in sizes) == (boundary < 10**6) and any(0 < n <= boundary for n in sizes) == (boundary > 0)
+        with Tables(spark) as tables:
+            out = ngram_join._components_of(docs, tables, 5, 80, 16, 8, 8.0, boundary).collect()
+        assert {(r.doc_id, r.component_id) for r in out} == want
+
+
+@pytest.mark.parametrize("local", [4_000_000, 7])
+def test_components(spark, local):
+    from quorate.llm.common import Tables
+
     links = [(i, i + 1) for i in range(50)] + [(100, 101), (102, 101), (7, 7)]
-    out = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert out == {i: 0 for i in range(51)} | {100: 100, 101: 100, 102: 100}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    with Tables(spark) as tables:
+        out = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long").repartition(9), tables, local).collect()}
+        assert out == {i: 0 for i in range(51)} | {100: 100, 101: 100, 102: 100}
+        assert components(spark.createDataFrame([], "a long, b long"), tables, local).count() == 0
 
 
 def brute_windows(rows, width=13):
