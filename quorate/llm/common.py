@@ -78,7 +78,7 @@ def rolling(sums: np.ndarray, width: int) -> np.ndarray:
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array and the offsets of its rows; null: empty."""
     if texts.null_count:
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, b"" if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else "")
     kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     off = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)

@@ -5,6 +5,8 @@ Texts with the same shingle set are one class, joined once. For the classes:
 * Every set is put in one global order, light shingles (rare ones) before
   heavy ones. Two sets of sizes n, m with Jaccard t or more share t * max(n, m)
   shingles, so their prefixes of n - ceil(t n) + k shingles share k of them.
+  Where the first shingle shared stands at places i and j, the overlap is at
+  most min(n - i, m - j); a list's pair that this rules out is no candidate.
 * Small sets (size up to a boundary) enumerate all 2-subsets of that prefix
   with k = 2; two small sets that link have a subset in common.
 * Large sets write inverted lists of their prefix with k = 1, which are
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, spans, written
+from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, spans, text_bytes, written
 
 _STEP = 4 << 20
 #: Sizes over this are measured as one, as lists only.
@@ -126,7 +128,7 @@ def choose_boundary(measured: list[tuple[bool, int, int, float]], share: int, pe
 
 
 def _postings(docs: DataFrame, width: int, percent: int, boundary: int, heavy: np.ndarray) -> DataFrame:
-    """(key, sid, n): subsets of small sets and list entries of large ones."""
+    """(key, sid, n, at): subsets of small sets and list entries of large ones; at is the place of the (first) shingle."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,50 +149,52 @@ def _postings(docs: DataFrame, width: int, percent: int, boundary: int, heavy: n
                 counts = np.where(fresh, sets.counts, 0)
                 place = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
                 one = np.flatnonzero(_list_rows(place, n, percent) & (100 * n > percent * boundary))
-                keys, owner = [h[one]], [doc[one]]
-                small = n <= boundary
+                keys, rows = [h[one]], [one]
+                small = np.flatnonzero(n <= boundary)
                 for i, key in _subset_rows(h[small], place[small], n[small], percent):
                     keys.append(key)
-                    owner.append(doc[small][i])
-                k, d = np.concatenate(keys), np.concatenate(owner)
-                back = np.argsort(d, kind="stable")  # neighbours of one set compress well
-                k, d = k[back], d[back]
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(sets.ids[d].view(np.int64)), pa.array(sets.counts[d].astype(np.int32))], ["key", "sid", "n"])
+                    rows.append(small[i])
+                k, r = np.concatenate(keys), np.concatenate(rows)
+                back = np.argsort(doc[r], kind="stable")  # neighbours of one set compress well
+                k, r = k[back], r[back]
+                d = doc[r]
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(sets.ids[d].view(np.int64)), pa.array(sets.counts[d].astype(np.int32)), pa.array(place[r].astype(np.int32))], ["key", "sid", "n", "at"])
 
-    return docs.mapInArrow(run, "key long, sid long, n int")
+    return docs.mapInArrow(run, "key long, sid long, n int, at int")
 
 
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
-    """Lists of two sets or more: (key, sid, n, hub, hub_n), hub the star's centre within reach of the size."""
+    """Lists of two sets or more: (key, sid, n, at, hub, hub_n, hub_at), hub the star's centre within reach of the size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
-            k, s, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if left is not None:
-                k, s, n = (np.concatenate(x) for x in zip(left, (k, s, n), strict=True))
+                rows = [np.concatenate(x) for x in zip(left, rows, strict=True)]
+            k = rows[0]
             if not len(k):
                 continue
             tail = int(np.searchsorted(k, k[-1]))
             if tail == 0 and len(k) < 1 << 22:  # a long list goes on in the next batch
-                left = (k, s, n)
+                left = rows
                 continue
             if tail == 0:  # cut, but its first set stays so that the parts share a centre
-                yield from out(k, s, n)
-                left = (k[:1], s[:1], n[:1])
+                yield from out(*rows)
+                left = [x[:1] for x in rows]
                 continue
-            yield from out(k[:tail], s[:tail], n[:tail])
-            left = (k[tail:], s[tail:], n[tail:])
+            yield from out(*(x[:tail] for x in rows))
+            left = [x[tail:] for x in rows]
         if left is not None:
             yield from out(*left)
 
-    def out(k, s, n):
+    def out(k, s, n, at):
         new = first_of_runs(k, s)
-        k, s, n = k[new], s[new], n[new]
+        k, s, n, at = k[new], s[new], n[new], at[new]
         head = first_of_runs(k)
         group = np.cumsum(head) - 1
         many = np.bincount(group, minlength=1)[group] > 1 if len(k) else head
-        k, s, n, head = k[many], s[many], n[many], head[many]
+        k, s, n, at, head = k[many], s[many], n[many], at[many], head[many]
         if not len(k):
             return
         # sizes ascend in a list; a set out of the centre's reach becomes a centre
@@ -203,25 +207,25 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
             first = np.flatnonzero(far)
             centre = np.union1d(centre, first[first_of_runs(own[first])])
         c = centre[own]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, s, n, s[c], n[c])], ["key", "sid", "n", "hub", "hub_n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, s, n, at, s[c], n[c], at[c])], ["key", "sid", "n", "at", "hub", "hub_n", "hub_at"])
 
     parts = partitions(postings.sparkSession)
-    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(run, "key long, sid long, n int, hub long, hub_n int")
+    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(run, "key long, sid long, n int, at int, hub long, hub_n int, hub_at int")
 
 
 def _sketch(hashes: np.ndarray) -> bytes:
-    """How many hashes fall into each of about n / 4 buckets; empty if a count does not fit a byte.
+    """How many hashes fall into each of n / 2 to n buckets; empty if a count does not fit a byte.
 
     The sum of the lesser counts of two sketches is never under the overlap.
     """
-    buckets = 1 << max(4, (len(hashes) // 4).bit_length())
+    buckets = 1 << max(4, (len(hashes) // 2).bit_length())
     counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) & (buckets - 1), minlength=buckets)
     return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
 
 
-def _most_common(x: bytes, y: bytes) -> int:
+def _most_common(x, y) -> int:
     """An upper bound of the overlap of two sketched sets."""
-    if not x or not y:
+    if not len(x) or not len(y):  # a count that did not fit
         return 1 << 62
     x, y = (np.frombuffer(v, np.uint8) for v in sorted((x, y), key=len))
     if len(y) > len(x):
@@ -229,38 +233,33 @@ def _most_common(x: bytes, y: bytes) -> int:
     return int(np.minimum(x, y).sum(dtype=np.int64))
 
 
-def _common(x: bytes, y: bytes) -> int:
+def _common(x, y) -> int:
     """The overlap of two sets of 64-bit hashes in ascending order."""
     low, high = (np.frombuffer(v, np.uint64) for v in sorted((x, y), key=len))
     at = np.searchsorted(high, low)
     return int((high[np.minimum(at, len(high) - 1)] == low).sum())
 
 
-def _row_key(sid: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
-    return _mix(sid ^ _mix(doc_id.astype(np.uint64)))
+def _forms(docs: DataFrame, width: int, wanted: DataFrame, form) -> DataFrame:
+    """(sid, items): form (a sketch or the whole set) of the wanted sets (sid, least).
 
-
-def _forms(docs: DataFrame, width: int, wanted: DataFrame, bits: int) -> DataFrame:
-    """(sid, sketch, items) of the wanted sets (sid, least), read from the document that has the least id."""
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sid, least = (batch.column(i).fill_null(-1).to_numpy(zero_copy_only=False) for i in range(2))
-            yield pa.RecordBatch.from_arrays([pa.array(_row_key(sid.view(np.uint64), least).view(np.int64))], ["key"])
-
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.mapInArrow(keys, "key long"), "key", bits))
+    Only documents that may have the least id of a wanted set are read as words.
+    """
+    key = F.xxhash64(F.coalesce("least", F.lit(-1).cast("long")))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(key.alias("key")), "key", bits_for(wanted.count())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(hits(shared.value, batch.column(2).to_numpy().view(np.uint64))))
             for part in chunks(batch, most=_STEP):
                 sets = Sets(part.column(1), width)
                 ends = np.cumsum(sets.counts)
-                ids = part.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-                rows = np.flatnonzero(hits(shared.value, _row_key(sets.ids, ids)) & (sets.counts > 0))
-                whole = [sets.hash[ends[i] - sets.counts[i] : ends[i]] for i in rows.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(sets.ids[rows].view(np.int64)), pa.array([_sketch(x) for x in whole], pa.binary()), pa.array([x.tobytes() for x in whole], pa.binary())], ["sid", "sketch", "items"])
+                rows = np.flatnonzero(sets.counts > 0)
+                items = [form(sets.hash[ends[i] - sets.counts[i] : ends[i]]) for i in rows.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(sets.ids[rows].view(np.int64)), pa.array(items, pa.binary())], ["sid", "items"])
 
-    return docs.mapInArrow(run, "sid long, sketch binary, items binary").join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
+    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long"))).alias("key"))
+    return keyed.mapInArrow(run, "sid long, items binary").join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
 
 
 def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataFrame:
@@ -283,11 +282,13 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataF
         centre, key, size = b"", None, 0
         for batch in batches:
             found = []
-            for a, part, member, b, n, items in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            raw, off = text_bytes(batch.column(5))  # sets stay in the batch's buffer
+            off = off.tolist()
+            for i, (a, part, member, b, n) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)):
                 if not member:
-                    centre, key, size = items, (a, part), n
+                    centre, key, size = raw[off[i] : off[i + 1]].tobytes(), (a, part), n
                 elif key == (a, part):
-                    same = min(common(items, centre), n, size)
+                    same = min(common(raw[off[i] : off[i + 1]], centre), n, size)
                     if 100 * same >= percent * (size + n - same):
                         found.append((a, size, b, n))
             if found:
@@ -296,7 +297,7 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataF
     return rows.repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", "member", "b").mapInArrow(run, "a long, an int, b long, bn int")
 
 
-def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, share: int = 16, heavy: int = 8, edge_cost: float = 8.0, boundary: int | None = None) -> DataFrame:
+def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, share: int = 16, heavy: int = 2, edge_cost: float = 16.0, boundary: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of documents.
 
     A text of fewer than `width` words is one shingle; null, empty or blank
@@ -308,7 +309,8 @@ def similar_components(documents: DataFrame, width: int = 5, percent: int = 80,
 
     share: heavy shingles (`heavy` times in it) and the costs are counted in
     the sets whose id is divisible by share; they decide what is cheap, never
-    what links. boundary: the largest small set, instead of the measured one.
+    what links. edge_cost: a candidate took about 50 microseconds, a row 3, on
+    0.5 GB. boundary: the largest small set, instead of the measured one.
     """
     with Tables(documents.sparkSession) as tables:
         return written(_components_of(_docs(documents), tables, width, percent, share, heavy, edge_cost, boundary))
@@ -340,8 +342,7 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
         boundary = choose_boundary(_measured(sample, percent, often), share, percent, edge_cost)
     lists = tables.written(_lists(_postings(docs, width, percent, boundary, often), percent))
     wanted = tables.written(classes.join(lists.select("sid").distinct(), "sid", "left_semi"))
-    forms = tables.written(_forms(docs, width, wanted, bits_for(wanted.count())))
-    sketches, wholes = forms.select("sid", F.col("sketch").alias("items")), forms.select("sid", "items")
+    sketches = tables.written(_forms(docs, width, wanted, _sketch))
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
 
     def check(pairs: DataFrame) -> bool:
@@ -350,6 +351,9 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
         rooted = lambda df: df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
         near = tables.written(_verified(tables.written(rooted(pairs).where("ra <> rb").select("a", "an", "b", "bn")), sketches, percent, _most_common))
+        if near.isEmpty():
+            return False
+        wholes = tables.written(_forms(docs, width, wanted.join(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid", "left_semi"), np.ndarray.tobytes))
         links = tables.written(rooted(_verified(near, wholes, percent, _common)).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         if links.isEmpty():
             return False
@@ -359,27 +363,25 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
         roots = tables.written(moved.unionByName(fresh))
         return True
 
-    check(lists.where("hub <> sid").select(F.col("hub").alias("a"), F.col("hub_n").alias("an"), F.col("sid").alias("b"), F.col("n").alias("bn")).distinct())
+    check(_near(lists.where("hub <> sid").select(F.struct(F.col("hub").alias("sid"), F.col("hub_n").alias("n"), F.col("hub_at").alias("at")).alias("a"), F.struct("sid", "n", "at").alias("b")), percent))
     before, turn = math.inf, 0
     while True:
         # lists that still meet sets of several components
-        placed = lists.select("key", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n"), F.xxhash64("sid", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
-        rest = tables.written(placed.join(mixed, "key").select("key", "sid", "n", "root", "hub"))
+        placed = lists.select("key", "sid", "n", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n", "at"), F.xxhash64("sid", "key", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
+        rest = tables.written(placed.join(mixed, "key").select("key", F.struct("sid", "n", "at").alias("own"), "root", "hub"))
         # pairs across components, before those of several lists are told apart
         shares = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
         size = shares.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")).first()
         if not size.rows:
             break
-        # long lists: stars around other centres first, as long as they spare a quarter of the pairs
-        if size.pairs > 16 * size.rows and size.pairs <= 0.75 * before:
-            stars = rest.where("sid <> hub.sid").select(F.col("hub.sid").alias("a"), F.col("hub.n").alias("an"), F.col("sid").alias("b"), F.col("n").alias("bn"))
-            check(_near(stars, percent))
+        # long lists: stars around other centres first, others in each list, as long as they spare a quarter of the pairs
+        if size.pairs > 4 * size.rows and size.pairs <= 0.75 * before:
+            check(_near(rest.where("own.sid <> hub.sid").select(F.col("hub").alias("a"), F.col("own").alias("b")), percent))
             before, turn = size.pairs, turn + 1
             continue
-        other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("root").alias("rb"))
-        pairs = rest.select("key", F.col("sid").alias("a"), F.col("n").alias("an"), "root").join(other, "key").where("a < b and root <> rb")
-        check(_near(pairs, percent))
+        other = rest.select("key", F.col("own").alias("b"), F.col("root").alias("rb"))
+        check(_near(rest.select("key", F.col("own").alias("a"), "root").join(other, "key").where("a.sid < b.sid and root <> rb"), percent))
         break
 
     named = classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -389,8 +391,10 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
 
 
 def _near(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs whose sizes allow a link."""
-    return pairs.where(percent * F.greatest("an", "bn").cast("long") <= 100 * F.least("an", "bn").cast("long")).select("a", "an", "b", "bn").distinct()
+    """(a, an, b, bn): distinct pairs of a list's entries (sid, n, at) whose sizes and places allow a link."""
+    most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")).cast("long")
+    near = pairs.where((100 + percent) * most >= percent * (F.col("a.n") + F.col("b.n")))
+    return near.select(F.col("a.sid").alias("a"), F.col("a.n").alias("an"), F.col("b.sid").alias("b"), F.col("b.n").alias("bn")).distinct()
 
 
 def op2(spark, sf_dir) -> DataFrame:
