@@ -13,12 +13,12 @@ net of `price` for each good one, and none if that is not positive.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import scratch
+from quorate.llm.common import scratch, written
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -102,41 +102,49 @@ def text_statistics(documents: DataFrame, keep: list[str], text: str = "text", w
     )
 
 
+#: Errors of Stirling's formula for ln x!, x from 1 to 15; a series serves above.
+_STIRLING = [math.lgamma(x + 1) - ((x + 0.5) * math.log(x) - x + 0.5 * math.log(2 * math.pi)) for x in range(1, 16)]
+
+
+def _stirling_error(x: Column) -> Column:
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * x * x)) / (x * x)) / (x * x)) / x
+    return F.when(x < 16, F.get(F.array(*map(F.lit, _STIRLING)), x.cast("int") - 1)).otherwise(series)
+
+
 def binomial_tail(n: Column, k: Column, p: Column) -> Column:
-    """P(Bin(n, p) <= k), exactly, as a sum of logarithms; k below n * p."""
-    step = F.log(p / (1 - p))
+    """P(Bin(n, p) <= k) for k below n * p, exact to double precision.
 
-    def add(acc: Column, j: Column) -> Column:
-        term = acc.term + F.log((n - j + 1) / j) + step
-        top = F.greatest(acc.total, term)
-        return F.struct(term.alias("term"), (top + F.log(F.exp(acc.total - top) + F.exp(term - top))).alias("total"))
+    The term of k, by the saddle-point form, times the sum of the ratios of
+    the terms below it. Terms over 9 standard deviations below the mean add
+    nothing, so the sum is short whatever n is.
+    """
+    n, k = n.cast("double"), k.cast("double")
+    m = n - k
+    divergence = k * F.log(k / (n * p)) + m * F.log(m / (n * (1 - p)))
+    inside = _stirling_error(n) - _stirling_error(k) - _stirling_error(m) - divergence + 0.5 * F.log(n / (2 * math.pi * k * m))
+    log_term = F.when(k <= 0, n * F.log(1 - p)).when(m <= 0, n * F.log(p)).otherwise(inside)
+    steps = F.least(k, F.ceil(9 * F.sqrt(n * p)) + 60).cast("long")
+
+    def add(acc: Column, i: Column) -> Column:
+        term = acc.term * (k - i) * (1 - p) / ((m + i + 1) * p)
+        return F.struct(term.alias("term"), (acc.total + term).alias("total"))
 
-    first = n * F.log(1 - p)
-    start = F.struct(first.alias("term"), first.alias("total"))
-    rest = F.when(k >= 1, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>"))
-    return F.exp(F.aggregate(rest, start, add, lambda acc: acc.total))
+    rest = F.when(steps >= 1, F.sequence(F.lit(0).cast("long"), steps - 1)).otherwise(F.array().cast("array<bigint>"))
+    return F.least(F.lit(1.0), F.exp(log_term) * F.aggregate(rest, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), add, lambda acc: acc.total))
 
 
-def certified_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05, price: float = 20.0, max_strata: int = 1000) -> DataFrame:
+def certified_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05, price: float = 20.0) -> DataFrame:
     """One row (stratum, rule, cutoff) for each rule that is in force there.
 
-    The strata with most labelled documents, max_strata at most, get cutoffs
-    of their own; the rest share one called "*". So the result has at most
-    (max_strata + 1) * rules rows. A document with several labels counts as
-    good only if all say so; rows without doc_id or label are left out.
+    A document with several labels counts as good only if all say so; rows
+    without doc_id or label are left out. A stratum without labels has no rule.
     """
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_good"))
     counted = stats.where("doc_id IS NOT NULL").join(marks, "doc_id").withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
     cells = [(name, c) for name, grid in GRID.items() for c in grid]
     sums = [F.sum(F.when((F.col("_good") == good) & (F.expr(STATISTICS[name]) > c), 1).otherwise(0)).alias(f"c{i}_{good}") for i, (name, c) in enumerate(cells) for good in (1, 0)]
     # labelled rows meet in one row for each stratum, with map-side sums
-    groups = counted.groupBy("_s").agg(F.sum("_good").alias("good"), F.count("*").alias("labelled"), *sums)
-    top = groups.orderBy(F.desc("labelled"), "_s").limit(max_strata).select(F.col("_s").alias("_own"))
-    groups = (
-        groups.join(top, F.col("_s") == F.col("_own"), "left")
-        .groupBy(F.when(F.col("_own").isNull(), F.lit("*")).otherwise(F.col("_s")).alias("stratum"))
-        .agg(F.sum("good").alias("good"), *[F.sum(f"c{i}_{g}").alias(f"c{i}_{g}") for i in range(len(cells)) for g in (1, 0)])
-    )
+    groups = counted.groupBy(F.col("_s").alias("stratum")).agg(F.sum("_good").alias("good"), *sums)
     long = groups.select(
         "stratum",
         "good",
@@ -165,16 +173,10 @@ def apply_quality_rules(documents: DataFrame, labels: DataFrame, stratum: str =
     """
     stats = scratch(text_statistics(documents, ["doc_id", stratum]))
     cutoffs = certified_cutoffs(stats, labels, stratum, alpha, delta, price)
-    # one row at most for each stratum, max_strata + 1 at most: small by construction
-    wide = F.broadcast(cutoffs.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_{r}") for r in GRID]))
-    own, other = wide.select("stratum", *[f"_{r}" for r in GRID]), wide.where("stratum = '*'").select(*[F.col(f"_{r}").alias(f"_{r}_rest") for r in GRID])
-    named = F.broadcast(own.where("stratum <> '*'"))
-    joined = (
-        stats.withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
-        .join(named, F.col("_s") == F.col("stratum"), "left")
-        .join(F.broadcast(other), F.lit(True), "left")
-    )
-    broken = [F.when(F.expr(STATISTICS[r]) > F.when(F.col("stratum").isNull(), F.col(f"_{r}_rest")).otherwise(F.col(f"_{r}")), F.lit(r)) for r in GRID]
+    # one row for each stratum, in a table of known size: Spark broadcasts it only where it is small
+    wide = written(cutoffs.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_{r}") for r in GRID]))
+    joined = stats.withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit(""))).join(wide.withColumnRenamed("stratum", "_own"), F.col("_s") == F.col("_own"), "left")
+    broken = [F.when(F.expr(STATISTICS[r]) > F.col(f"_{r}"), F.lit(r)) for r in GRID]
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return joined.select("doc_id", stratum, *COUNTS, failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("rejected_by")).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
