@@ -228,6 +228,22 @@ def test_common_subsequence():
         assert decontam.common_subsequence(decontam._Items._masks(__import__("numpy").array(a)), len(a), b) == brute(a, b)
 
 
+def test_common_subsequences_of_many_rows():
+    import numpy as np
+
+    rng = random.Random(17)
+    text = lambda n: " ".join(f"w{rng.randrange(30)}" for _ in range(n))
+    items = decontam._Items(list(range(8)), [text(n) for n in (1, 5, 20, 37, 63, 64, 65, 150)], 32, 8)
+    numbers = np.array([rng.randrange(len(items.vocabulary)) for _ in range(2000)])
+    item, low = (np.array([rng.randrange(n) for _ in range(300)]) for n in (8, 1900))
+    high = np.minimum(low + np.array([rng.randrange(120) for _ in range(300)]), 2000)
+    want = [decontam.common_subsequence(items.masks[i], len(items.words[i]), numbers[a:b].tolist()) for i, a, b in zip(item, low, high, strict=True)]
+    assert items.subsequences(item, low, high, numbers).tolist() == want
+    share = [x / len(items.words[i]) for x, i in zip(want, item, strict=True)]
+    enough = items.enough(item, low, high, numbers, 0.5)
+    assert all(e or s < 0.5 for e, s in zip(enough.tolist(), share, strict=True))
+
+
 def test_leaks_and_paraphrases(spark):
     rng = random.Random(8)
     vocabulary = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "ra", "te") for b in range(300)]
