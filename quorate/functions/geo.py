@@ -43,11 +43,15 @@ def usable_points(df, lng: str = "lng", lat: str = "lat", issue: str | None = "s
 
 def wkb_points(df, column: str = "wkb"):
     """Adds lng and lat of little-endian WKB points."""
-    def part(start: int):
-        @F.pandas_udf("double")
-        def read(points: pd.Series) -> pd.Series:
-            return points.map(lambda b: None if b is None or len(b) < 21 else float(np.frombuffer(b, "<f8", 1, start)[0]))
 
-        return read
-
-    return df.withColumns({"lng": F.round(part(5)(column), 3), "lat": F.round(part(13)(column), 3)})
+    @F.pandas_udf("lng double, lat double")
+    def read(points: pd.Series) -> pd.DataFrame:
+        whole = points.map(len, na_action="ignore").fillna(0).to_numpy() >= 21
+        out = np.full((len(points), 2), np.nan)
+        # one byte order mark, four bytes of type, two doubles
+        out[whole] = np.frombuffer(b"".join(b[5:21] for b in points[whole]), "<f8").reshape(-1, 2)
+        return pd.DataFrame(out, columns=["lng", "lat"])
+
+    # a value that is no point is null
+    point = F.col("_p")
+    return df.withColumn("_p", read(column)).withColumns({c: F.when(~F.isnan(point.getField(c)), F.round(point.getField(c), 3)) for c in ("lng", "lat")}).drop("_p")

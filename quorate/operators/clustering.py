@@ -56,43 +56,69 @@ def cluster_strings(df: DataFrame, key: str, lang: str, name: str, own: Column |
     return out.withColumn("common_name", first_mode(F.try_element_at("vernacular", F.lit(common))))
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return ((a[:, None, :] - b[None, :, :]) ** 2).sum(-1)
+# Fixed values of the representative points: clusters for a total weight below
+# a limit, then one more for each step of weight up to a greatest number; the
+# most rounds; the square of the reach within which weight counts as a centre's;
+# the distance between picks; the share of sparse centres; the picks.
+CLUSTERS = ((100, 3), (1_000, 4), (6_000, 5))
+CLUSTERS_BEYOND, CLUSTER_STEP, CLUSTERS_MOST = 6, 5_000, 10
+ROUNDS = 20
+REACH_SQUARED, APART, SPARSE, PICKS = 5.0, 9.0, 0.25, 3
+
+
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of each a to each b."""
+    return np.square(a[:, None] - b).sum(axis=2)
+
+
+def _clusters(total: float) -> int:
+    limit = CLUSTERS[-1][0]
+    beyond = min(CLUSTERS_BEYOND + int((total - limit) // CLUSTER_STEP), CLUSTERS_MOST)
+    return next((k for most, k in CLUSTERS if total < most), beyond)
+
+
+def _centres(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Weighted k-means over distinct points, until no point changes its centre."""
+    first = [int(weights.argmax())]
+    for _ in range(k - 1):
+        far = _squared(points, points[first]).min(axis=1) * weights
+        first.append(int(rng.choice(len(points), p=far / far.sum())) if far.any() else int(weights.argmax()))
+    centres, own = points[first], None
+    for _ in range(ROUNDS):
+        nearest = _squared(points, centres).argmin(axis=1)
+        if own is not None and np.array_equal(own, nearest):
+            break
+        own = nearest
+        share = np.equal.outer(np.arange(k), own) * weights  # centre, point
+        mass = share.sum(axis=1, keepdims=True)
+        centres = np.divide(share @ points, mass, out=centres.copy(), where=mass > 0)
+    return centres
 
 
 def representatives(points: np.ndarray, weights: np.ndarray, seed: int = 11) -> np.ndarray:
-    """Up to three of the points that stand for all: weighted k-means, then the densest centres that lie apart.
+    """Up to PICKS of the points that stand for all: weighted k-means, then the densest centres that lie apart.
 
-    Three points or fewer are returned as they are (distinct).
+    PICKS points or fewer are returned as they are (distinct). Where too few
+    centres lie apart, the densest others follow.
     """
-    total = float(weights.sum())
-    unique = np.unique(points, axis=0)
-    if len(unique) <= 3:
-        return unique
-    k = 3 if total < 100 else 4 if total < 1000 else 5 if total < 6000 else min(6 + int((total - 6000) // 5000), 10)
-    k = min(k, len(unique))
-    rng = np.random.default_rng(seed)
-    centres = [points[int(np.argmax(weights))]]
-    while len(centres) < k:  # seeds by distance to the others
-        d = _distances(points, np.array(centres)).min(1) * weights
-        centres.append(points[int(rng.choice(len(points), p=d / d.sum()))] if d.sum() > 0 else unique[len(centres)])
-    c = np.array(centres, float)
-    for _ in range(min(max(2 * k, 5), 20)):
-        near = _distances(points, c).argmin(1)
-        mass = np.bincount(near, weights, k)
-        for axis in (0, 1):
-            c[:, axis] = np.where(mass > 0, np.bincount(near, weights * points[:, axis], k) / np.maximum(mass, 1e-12), c[:, axis])
-    if k > 3:
-        score = (weights[:, None] * (_distances(points, c) <= 5.0)).sum(0)
-        order = np.argsort(-score, kind="stable")
-        good = [i for i in order if score[i] >= np.percentile(score, 25)]
-        kept: list[int] = []
-        for i in good:
-            if all(np.sqrt(((c[i] - c[j]) ** 2).sum()) >= 9.0 for j in kept):
-                kept.append(i)
-        kept += [i for i in order if i not in kept][: max(0, 3 - len(kept))]
-        c = c[kept[:3]]
-    return np.unique(points[_distances(c, points).argmin(1)], axis=0)
+    distinct, place = np.unique(points.astype(float), axis=0, return_inverse=True)
+    if len(distinct) <= PICKS:
+        return distinct
+    weights = np.bincount(place.ravel(), weights, len(distinct))
+    centres = _centres(distinct, weights, min(_clusters(weights.sum()), len(distinct)), np.random.default_rng(seed))
+    density = (_squared(centres, distinct) <= REACH_SQUARED) @ weights
+    open_, picked = density >= np.quantile(density, SPARSE), []
+    for others in (False, True):
+        if others:
+            open_ = np.ones(len(centres), bool)
+            open_[picked] = False
+        while open_.any() and len(picked) < PICKS:
+            best = int(np.where(open_, density, -1.0).argmax())
+            picked.append(best)
+            open_[best] = False
+            if not others:
+                open_ &= _squared(centres, centres[[best]])[:, 0] >= APART**2
+    return np.unique(distinct[_squared(centres[picked], distinct).argmin(axis=1)], axis=0)
 
 
 def centroids(tiles: DataFrame, key: str, lng: str = "lng", lat: str = "lat", weight: str = "n") -> DataFrame:

@@ -38,6 +38,15 @@ def vote(target: DataFrame, sources: Mapping[str, DataFrame], links: Mapping[str
     return vote_pool(target, sources, links, column, **options).withColumn(out, F.coalesce(won, F.col(fallback)) if fallback else won).drop("pool")
 
 
+def first_mode_of(df: DataFrame, key: str, value: str, order: Sequence[str], out: str) -> DataFrame:
+    """(key, out): the most frequent value of each key, ties going to the value that comes first in the order; null if all are.
+
+    Values are counted with map-side combining; no key's rows are gathered.
+    """
+    counts = df.groupBy(key, value).agg(F.count(value).alias("_n"), F.min(F.struct(*order)).alias("_first"))
+    return counts.groupBy(key).agg(F.min_by(value, F.struct(-F.col("_n"), F.col("_first"))).alias(out))
+
+
 def ambiguous(pool: Column) -> Column:
     """Whether more than one distinct candidate stands."""
     return F.size(F.array_distinct(F.array_compact(pool))) > 1

@@ -14,17 +14,24 @@ from quorate.session import cut
 
 
 def closure(edges: DataFrame, child: str, parent: str, levels: int = 20) -> DataFrame:
-    """(child, ancestor, level) for up to `levels` steps; a cycle ends there, self edges are left out."""
+    """(child, ancestor, level), the fewest steps; a cycle ends there, self edges are left out.
+
+    Fails where paths are longer than `levels`.
+    """
     e = cut(edges.where(F.col(child).isNotNull() & F.col(parent).isNotNull() & (F.col(child) != F.col(parent))).select(F.col(child).alias("child"), F.col(parent).alias("up")).distinct())
     front = e.select("child", F.col("up").alias("ancestor"), F.lit(1).alias("level"))
     out = front
     up = e.select(F.col("child").alias("ancestor"), F.col("up").alias("next"))
     for level in range(2, levels + 1):
-        front = cut(front.join(up, "ancestor").where("next <> child").select("child", F.col("next").alias("ancestor"), F.lit(level).alias("level")))
+        step = front.join(up, "ancestor").where("next <> child").select("child", F.col("next").alias("ancestor"), F.lit(level).alias("level")).distinct()
+        front = cut(step.join(out, ["child", "ancestor"], "left_anti"))
         if front.isEmpty():
             break
         out = out.unionByName(front)
-    return out.groupBy("child", "ancestor").agg(F.min("level").alias("level"))
+    else:
+        if not front.join(up, "ancestor").where("next <> child").select("child", F.col("next").alias("ancestor")).join(out, ["child", "ancestor"], "left_anti").isEmpty():
+            raise RuntimeError(f"paths are longer than {levels} steps; raise levels")
+    return out.select("child", "ancestor", "level")
 
 
 def descendants(edges: DataFrame, child: str, parent: str, roots: DataFrame, root: str) -> DataFrame:
@@ -77,15 +84,17 @@ def link_orphans(df: DataFrame, key: str, parent: str, name: str, rank: str, gro
     return df.join(best.select(F.col("_k").alias(key), "_to"), key, "left").withColumn(parent, F.coalesce(parent, "_to")).drop("_to").select(*df.columns)
 
 
-def cascade_up(df: DataFrame, key: str, parent: str, flag: str, provenance: str, may: Column | None = None, rounds: int = 20, stall: bool = False) -> DataFrame:
+def cascade_up(df: DataFrame, key: str, parent: str, flag: str, provenance: str, may: Column | None = None, rounds: int | None = None, stall: bool = False) -> DataFrame:
     """Rows without the flag get it, with their children's provenance, once a child has it.
 
-    Ends without candidates or after `rounds`; with stall, also when a round
-    has as many candidates as the one before.
+    Ends without candidates (each round adds rows with the flag, so it does),
+    or after `rounds` if given; with stall, also when a round has as many
+    candidates as the one before.
     """
     may = F.lit(True) if may is None else may
-    before = -1
-    for _ in range(rounds):
+    before, round_ = -1, 0
+    while rounds is None or round_ < rounds:
+        round_ += 1
         kids = df.where(flag).where(F.col(parent).isNotNull()).groupBy(F.col(parent).alias("_p")).agg(union_of_lists(F.col(provenance)).alias("_by"))
         joined = cut(df.join(kids, F.col(key) == F.col("_p"), "left").withColumn("_new", F.col("_p").isNotNull() & ~F.coalesce(F.col(flag), F.lit(False)) & may))
         n = joined.where("_new").count()
@@ -116,6 +125,7 @@ def rollup(values: DataFrame, edges: DataFrame, node: str, child: str, parent: s
     """Values of each node with those of all nodes below, added up level by level along direct edges.
 
     Rows are aggregated before each step, so no step is larger than nodes times keys.
+    Fails where paths are longer than `levels`, as in a cycle.
     """
     e = cut(edges.where(F.col(child).isNotNull() & F.col(parent).isNotNull() & (F.col(child) != F.col(parent))).select(F.col(child).alias(node), F.col(parent).alias("_up")).distinct())
     add: Callable[[DataFrame], DataFrame] = lambda d: d.groupBy(node, *keys).agg(*[F.sum(s).alias(s) for s in sums])
@@ -126,4 +136,7 @@ def rollup(values: DataFrame, edges: DataFrame, node: str, child: str, parent: s
         if front.isEmpty():
             break
         out = out.unionByName(front)
+    else:
+        if not front.join(e, node).isEmpty():
+            raise RuntimeError(f"paths are longer than {levels} steps, or a cycle; raise levels")
     return add(out)

@@ -88,11 +88,13 @@ def refresh_queue(df: DataFrame, key: str, checked: str, now: Column, days: int
 def prefix_parent(children: DataFrame, parents: DataFrame, group: str, path: str, key: str) -> DataFrame:
     """(key, parent) where parent has the longest path in the group that starts the child's path.
 
-    The group is the hash key; the prefix is tested on what meets there.
+    Each child is joined by its path's proper prefixes, so rows grow with the
+    length of paths and not with the rows of a group.
     """
-    p = parents.select(F.col(group).alias("_g"), F.col(path).alias("_path"), F.col(key).alias("parent"))
-    found = children.join(p, (F.col(group) == F.col("_g")) & F.startswith(F.col(path), F.col("_path")) & (F.length("_path") < F.length(path)))
-    return pick_one(found.select(key, "parent", F.length("_path").alias("n")), [key], [F.col("n").desc(), F.col("parent")]).select(key, "parent")
+    p = parents.where(F.col(path).isNotNull()).groupBy(F.col(group).alias("_g"), F.col(path).alias("_path")).agg(F.min(key).alias("parent"))
+    cuts = children.where(F.length(path) > 0).select(key, F.col(group).alias("_g"), F.col(path).alias("_own"), F.explode(F.sequence(F.lit(0), F.length(path) - 1)).alias("_n"))
+    found = cuts.select(key, "_g", "_n", F.expr("left(_own, _n)").alias("_path")).join(p, ["_g", "_path"])
+    return found.groupBy(key).agg(F.min_by("parent", F.struct(-F.col("_n"), F.col("parent"))).alias("parent"))
 
 
 def area_candidates(df: DataFrame, column: str) -> DataFrame:

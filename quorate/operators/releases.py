@@ -50,11 +50,12 @@ def diff(current: DataFrame, previous: DataFrame, key: str, columns: Sequence[st
 def diff_profile(changes: DataFrame, total: Column | int, key: str, ratio: float = 0.10, samples: int = 200) -> DataFrame:
     """(kind, n, share, suspicious, sample, truncated) of each kind of change; samples are the least keys.
 
-    Only `samples` keys of each kind are gathered, picked by a ranked window.
+    Only `samples` keys of each kind are gathered, picked by ranked windows over parts of a kind and then over what these leave.
     """
-    w = Window.partitionBy("kind").orderBy(key)
+    salted, w = Window.partitionBy("kind", "_s").orderBy(key), Window.partitionBy("kind").orderBy(key)
     counts = changes.groupBy("kind").agg(F.count("*").alias("n"))
-    some = changes.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= samples).groupBy("kind").agg(F.array_sort(F.collect_list(key)).alias("sample"))
+    few = changes.select("kind", key, F.pmod(F.xxhash64(key), F.lit(64)).alias("_s")).withColumn("_i", F.row_number().over(salted)).where(F.col("_i") <= samples)
+    some = few.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= samples).groupBy("kind").agg(F.array_sort(F.collect_list(key)).alias("sample"))
     share = F.col("n") / (F.lit(total) if isinstance(total, int) else total)
     return counts.join(some, "kind").withColumns({"share": share, "suspicious": share > ratio, "truncated": F.col("n") > samples})
 

@@ -30,7 +30,8 @@ def guarded_rollup(seeds: DataFrame, edges: DataFrame, entity: str, child: str,
 
     Tiles with over `heavy` points keep a key of their own on every level;
     lighter ones are summed, with the centre of the densest child. Levels are
-    not merged with each other unless asked for.
+    not merged with each other unless asked for. Fails where paths are longer
+    than `levels`, as in a cycle.
     """
     e = edges.where(F.col(child).isNotNull() & F.col(parent).isNotNull() & (F.col(child) != F.col(parent))).select(F.col(child).alias(entity), F.col(parent).alias("_up")).distinct()
     key = F.when(F.col("n") > heavy, F.concat(F.lit("u:"), F.col("tile").cast("string"), F.lit("#"), F.col(entity).cast("string"))).otherwise(F.concat(F.lit("m:"), F.col("tile").cast("string")))
@@ -44,6 +45,9 @@ def guarded_rollup(seeds: DataFrame, edges: DataFrame, entity: str, child: str,
         if front.isEmpty():
             break
         out = out.unionByName(front)
+    else:
+        if not front.join(e, entity).isEmpty():
+            raise RuntimeError(f"paths are longer than {levels} steps, or a cycle; raise levels")
     out = out.select(entity, "tile", "lng", "lat", "n")
     if not merge:
         return out

@@ -16,15 +16,15 @@ _SQL_ORDER = ", ".join(_ORDER)
 @query(f"SELECT l_orderkey, list_mode(list(l_returnflag ORDER BY {_SQL_ORDER})) AS flag FROM lineitem GROUP BY l_orderkey")
 def vote_order_flag(t):
     """Most frequent return flag of each order; ties go to the line that comes first."""
-    return t.lineitem.groupBy("l_orderkey").agg(C.first_mode(C.ordered_list("l_returnflag", *_ORDER)).alias("flag"))
+    return consensus.first_mode_of(t.lineitem, "l_orderkey", "l_returnflag", _ORDER, "flag")
 
 
 def _authorities(t):
     """Three sources that each name one line of an order: the cheapest, the latest and the largest."""
-    line = t.lineitem
-    pick = lambda *order: lookup.pick_one(line, ["l_orderkey"], [*order, *[F.col(c) for c in _ORDER]])
-    rows = {"cheapest": pick(F.col("l_extendedprice")), "latest": pick(F.col("l_shipdate").desc()), "largest": pick(F.col("l_quantity").desc())}
-    return {k: v.select(F.col("l_orderkey").alias("id_raw"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("quantity"), F.year("l_shipdate").cast("long").alias("year")) for k, v in rows.items()}
+    first = {"cheapest": F.col("l_extendedprice"), "latest": -F.unix_micros(F.col("l_shipdate").cast("timestamp")), "largest": -F.col("l_quantity")}
+    row = F.struct(F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("quantity"), F.year("l_shipdate").cast("long").alias("year"))
+    # a grouped minimum with map-side combining, no sort of an order's lines
+    return {k: t.lineitem.groupBy(F.col("l_orderkey").alias("id_raw")).agg(F.min_by(row, F.struct(x, *_ORDER)).alias("x")).select("id_raw", "x.*") for k, x in first.items()}
 
 
 _AUTHORITIES = "".join(
@@ -97,15 +97,15 @@ def name_fallback_link(t):
 
 
 @query("""
-WITH target AS (SELECT o_orderkey AS id, nullif(o_custkey % 50, 0) AS a, o_custkey % 20 AS b, o_orderpriority AS name FROM orders),
-reference AS (SELECT c_custkey AS ref, c_custkey % 60 AS a, c_custkey % 25 AS b, c_mktsegment AS name, c_acctbal AS pop FROM customer WHERE c_custkey <= 200),
+WITH target AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey - o_custkey % 2 END AS a, o_custkey - o_custkey % 4 AS b, o_orderpriority AS name FROM orders),
+reference AS (SELECT c_custkey AS ref, c_custkey - c_custkey % 2 AS a, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey - c_custkey % 4 END AS b, CASE WHEN c_custkey % 2 = 0 THEN '3-MEDIUM' ELSE '1-URGENT' END AS name, c_acctbal AS pop FROM customer),
 first AS (SELECT id, ref FROM target t JOIN reference r USING (a) QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN t.name = r.name THEN 0 ELSE 1 END, pop DESC, ref) = 1),
 second AS (SELECT id, ref FROM target t JOIN reference r USING (b) WHERE id NOT IN (SELECT id FROM first) QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN t.name = r.name THEN 0 ELSE 1 END, pop DESC, ref) = 1)
 SELECT id, ref FROM target LEFT JOIN (SELECT * FROM first UNION ALL SELECT * FROM second) USING (id)""")
 def link_by_two_keys(t):
     """Links by the first key that finds a row: equal name first, then popularity, then id."""
-    target = t.orders.select(F.col("o_orderkey").alias("id"), F.nullif(F.col("o_custkey") % 50, F.lit(0).cast("long")).alias("a"), (F.col("o_custkey") % 20).alias("b"), F.col("o_orderpriority").alias("name"))
-    reference = t.customer.where("c_custkey <= 200").select(F.col("c_custkey").alias("ref"), (F.col("c_custkey") % 60).alias("a"), (F.col("c_custkey") % 25).alias("b"), F.col("c_mktsegment").alias("name"), F.col("c_acctbal").alias("pop"))
+    target = t.orders.select(F.col("o_orderkey").alias("id"), F.expr("CASE WHEN o_custkey % 3 <> 0 THEN o_custkey - o_custkey % 2 END AS a"), F.expr("o_custkey - o_custkey % 4 AS b"), F.col("o_orderpriority").alias("name"))
+    reference = t.customer.select(F.col("c_custkey").alias("ref"), F.expr("c_custkey - c_custkey % 2 AS a"), F.expr("CASE WHEN c_custkey % 5 <> 0 THEN c_custkey - c_custkey % 4 END AS b"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN '3-MEDIUM' ELSE '1-URGENT' END AS name"), F.col("c_acctbal").alias("pop"))
     return linking.link_by_keys(target, reference, ["a", "b"], "name", "pop", "ref").select("id", "ref")
 
 

@@ -181,15 +181,16 @@ def anti_orders_without_lines(t):
     return t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").select("o_orderkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 300000)")
 def null_aware_anti(t):
     """NOT IN without nulls on the right is an anti join."""
-    return t.customer.join(t.orders.where("o_custkey IS NOT NULL"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return t.customer.join(t.orders.where("o_custkey IS NOT NULL AND o_totalprice > 300000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
-@query("SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, a.lang, b.quality FROM (SELECT * FROM documents WHERE doc_id % 2 = 0) a FULL JOIN labels b ON a.doc_id = b.doc_id")
+@query("SELECT coalesce(a.doc_id, b.doc_id + 7) AS doc_id, a.lang, b.quality FROM documents a FULL JOIN labels b ON a.doc_id = b.doc_id + 7")
 def full_outer_label_docs(t):
-    return t.documents.where("doc_id % 2 = 0").select("doc_id", "lang").join(t.labels.select("doc_id", "quality"), "doc_id", "full")
+    """Whole tables; labels moved by seven, so that both sides have rows without a partner."""
+    return t.documents.select("doc_id", "lang").join(t.labels.select((F.col("doc_id") + 7).alias("doc_id"), "quality"), "doc_id", "full")
 
 
 @query("""

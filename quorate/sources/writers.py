@@ -68,13 +68,37 @@ def write_keyed(df: DataFrame, path: str, key: str, files: int) -> None:
     df.repartition(files, key).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends a swap that a lost driver left half-way: the new table if it was written to its end, else the old one."""
+    if not exists(spark, path):
+        if exists(spark, f"{path}.new/_SUCCESS"):
+            _move(spark, f"{path}.new", path)
+        elif exists(spark, f"{path}.old"):
+            _move(spark, f"{path}.old", path)
+    if exists(spark, path):
+        delete(spark, f"{path}.old")
+
+
 def rewrite(df: DataFrame, path: str) -> None:
-    """Replaces a table that df may read from: written beside it, then swapped."""
+    """Replaces a table that df may read from: written beside it, then swapped.
+
+    At every moment the old or the new rows are whole in path, path.old or
+    path.new; recover() puts them back in place, and comes first here.
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-    fs.rename(_fs(spark, f"{path}.new")[1], p)
+    recover(spark, path)
+    delete(spark, f"{path}.new")
+    df.write.parquet(f"{path}.new")
+    if exists(spark, path):
+        _move(spark, path, f"{path}.old")
+    _move(spark, f"{path}.new", path)
+    delete(spark, f"{path}.old")
 
 
 def release_version(stamps: Sequence[str]) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quorate.operators.lookup import upsert
-from quorate.sources.writers import exists, rewrite
+from quorate.sources.writers import exists, recover, rewrite
 
 
 def read_deltas(spark: SparkSession, folder: str, schema: str, per_batch: int = 100) -> DataFrame:
@@ -21,12 +21,14 @@ def upsert_stream(deltas: DataFrame, table: str, key: str, order: Sequence[Colum
     """Merges each batch into a Parquet table: the newest row of each key wins.
 
     The merge gives the same table when a batch comes again, so a batch that
-    was lost half-way is simply repeated; the checkpoint moves on afterwards.
+    was lost half-way is simply repeated, after a swap that it left half-way
+    has been ended; the checkpoint moves on afterwards.
     every: runs on at that interval ("24 hours"); else what is there is merged once.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
+        recover(spark, table)
         old = spark.read.parquet(table) if exists(spark, table) else spark.createDataFrame([], batch.schema)
         new = old.unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
         stored, fresh = new.where("_new IS NULL").drop("_new"), new.where("_new = 1").drop("_new")

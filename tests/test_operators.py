@@ -123,3 +123,25 @@ def test_enrich_in_requests(spark):
     rows = spark.createDataFrame([(f"t{i}",) for i in range(45)] + [(None,)], "title string").coalesce(1)
     out = clustering.enrich(rows, "title", lambda keys: {k: f"{k}:{len(keys) <= 20}" for k in keys if k != "t3"}).collect()
     assert len(out) == 45 and {r.value for r in out if r.title == "t3"} == {None} and all(r.value.endswith("True") for r in out if r.value)
+
+
+def test_levels_beyond_the_limit_fail(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(6)], "c int, p int")
+    values = spark.createDataFrame([(0, 1)], "n int, v int")
+    assert graph.closure(chain, "c", "p", levels=6).count() == 21
+    assert graph.rollup(values, chain, "n", "c", "p", [], ["v"], levels=6).count() == 7
+    for call in (lambda: graph.closure(chain, "c", "p", levels=5), lambda: graph.rollup(values, chain, "n", "c", "p", [], ["v"], levels=5)):
+        with pytest.raises(RuntimeError):
+            call()
+
+
+def test_cascade_reaches_the_top_of_a_long_chain(spark):
+    rows = spark.createDataFrame([(i, i - 1 if i else None, i == 24, ["x"] if i == 24 else []) for i in range(25)], "id int, up int, ok boolean, by array<string>")
+    assert graph.cascade_up(rows, "id", "up", "ok", "by").where("ok").count() == 25
+
+
+def test_prefix_parent_takes_the_longest(spark):
+    rows = [(1, "h", "/"), (2, "h", "/a"), (3, "h", "/a/b"), (4, "h", "/a/b/c"), (5, "g", "/a/b"), (6, "h", None), (7, "h", ""), (8, "h", "/a")]
+    df = spark.createDataFrame(rows, "id int, host string, path string")
+    out = {r.id: r.parent for r in lookup.prefix_parent(df, df, "host", "path", "id").collect()}
+    assert out == {1: 7, 2: 1, 3: 2, 4: 3, 8: 1}

@@ -1,6 +1,7 @@
 import gzip
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quorate.sources import readers, writers
@@ -49,6 +50,24 @@ def test_versions_and_releases(spark, tmp_path):
     assert spark.read.parquet(table).count() == 2
 
 
+@pytest.mark.parametrize(("there", "want"), [(("old",), 5), (("old", "new"), 2), (("new",), 2), (("path", "old"), 5), (("path", "new"), 5), (("path", "part"), 5), (("old", "part"), 5)])
+def test_a_swap_cut_half_way_is_ended(spark, tmp_path, there, want):
+    """A driver lost between any two steps of a rewrite leaves all old or all new rows."""
+    base = str(tmp_path / "t")
+    rows = spark.range(5).selectExpr("id", "cast(id AS string) AS v", "1 AS ts")
+    for name, path in (("path", base), ("old", f"{base}.old")):
+        if name in there:
+            rows.write.parquet(path)
+    if "new" in there or "part" in there:
+        rows.where("id < 2").write.parquet(f"{base}.new")
+    if "part" in there:  # not written to its end
+        (tmp_path / "t.new" / "_SUCCESS").unlink()
+    writers.recover(spark, base)
+    assert spark.read.parquet(base).count() == want
+    writers.rewrite(spark.read.parquet(base).where("id < 1"), base)
+    assert spark.read.parquet(base).count() == 1 and writers.names(spark, str(tmp_path)) == ["t"]
+
+
 def test_stream_upsert_is_idempotent(spark, tmp_path):
     deltas, table = tmp_path / "deltas", str(tmp_path / "table")
     schema = "id int, v string, ts int"
