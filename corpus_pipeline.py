@@ -3,7 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, written as
 Parquet and read again as the next one's docs. All but the last return the
 columns of documents. Side tables (labels, benchmark) come from sf_dir.
-Rows of one doc_id stand or fall together where a stage decides by doc_id.
+The quality stage judges each row, with or without an id, by its own text. The
+next two decide by doc_id: rows of one doc_id stand or fall together there, and
+rows without one stay. The secret scan changes each row by its own text. Null,
+empty and repeated texts go through every stage (the quality stage rejects null
+and empty ones); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorate.llm import bpe, decontam, ngram_join, quality_rules, secret_scan
-from quorate.llm.common import ready
+from quorate.llm.common import delete, ready
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; a row without doc_id goes."""
-    verdicts = quality_rules.apply_quality_rules(docs, _table(spark, sf_dir, "labels"))
-    return docs.join(verdicts.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").where("doc_id IS NOT NULL").select(*docs.columns)
+    """Rows that the quality rules keep; a row is known by its id and a hash of what is judged."""
+    row = F.xxhash64("doc_id", "text", "lang")
+    verdicts = quality_rules.apply_quality_rules(docs.withColumn("_row", row), _table(spark, sf_dir, "labels"), keep=("_row",))
+    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), "_row").distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (row == F.col("_row")), "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,11 +70,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each result is a Parquet table in the shared checkpoint folder."""
+    """Applies the stages to documents; each result is a Parquet table in the shared checkpoint folder.
+
+    A stage's table is deleted once the next one is written; the last stage reads the one that stays.
+    """
     ready(spark)
     base = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
     docs = _table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        if before:
+            delete(spark, before)
+        before = f"{base}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -162,8 +162,8 @@ def certified_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str = "lang"
     )
 
 
-def apply_quality_rules(documents: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05, price: float = 20.0) -> DataFrame:
-    """The documents' doc_id, stratum, counts, base_failed, rejected_by and kept.
+def apply_quality_rules(documents: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05, price: float = 20.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The documents' doc_id, stratum, columns keep, counts, base_failed, rejected_by and kept.
 
     One row for each row of documents. Null or empty text: no words, so
     base_failed. base_failed: under 10 words, or over a fifth of the words in
@@ -171,14 +171,14 @@ def apply_quality_rules(documents: DataFrame, labels: DataFrame, stratum: str =
     in force whose cutoff the text exceeds. kept: neither. Without labels no
     rule is in force and only the base decides. Further columns are ignored.
     """
-    stats = scratch(text_statistics(documents, ["doc_id", stratum]))
+    stats = scratch(text_statistics(documents, ["doc_id", stratum, *keep]))
     cutoffs = certified_cutoffs(stats, labels, stratum, alpha, delta, price)
     # one row for each stratum, in a table of known size: Spark broadcasts it only where it is small
     wide = written(cutoffs.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_{r}") for r in GRID]))
     joined = stats.withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit(""))).join(wide.withColumnRenamed("stratum", "_own"), F.col("_s") == F.col("_own"), "left")
     broken = [F.when(F.expr(STATISTICS[r]) > F.col(f"_{r}"), F.lit(r)) for r in GRID]
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return joined.select("doc_id", stratum, *COUNTS, failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("rejected_by")).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+    return joined.select("doc_id", stratum, *keep, *COUNTS, failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("rejected_by")).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
 
 def op1(spark, sf_dir) -> DataFrame:

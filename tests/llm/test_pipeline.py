@@ -33,3 +33,12 @@ def test_empty_input(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
         assert docs.count() == 0
+
+
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    good, bad = " ".join(f"word{i} of a clean text" for i in range(40)), "too short"
+    rows = [(None, good), (None, bad), (10**9, good + " one"), (10**9, bad), (None, None), (10**9 + 1, "")]
+    odd = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.quality(spark, docs.unionByName(odd).unionByName(odd.limit(1)), DATA).where("doc_id IS NULL OR doc_id >= 1000000000").collect()
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in out))) == sorted(map(repr, [(None, good), (None, good), (10**9, good + " one")]))
