@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from quorate.llm.common import chunks, first_of_runs, give_back
 
 #: Bytes of words, and sum of their squared lengths (the size of all steps), that one recursive query takes.
-QUERY_BYTES, QUERY_SQUARES = 600_000, 16_000_000
+QUERY_BYTES, QUERY_SQUARES = 300_000, 16_000_000
 #: Words that a task keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 #: Bytes of a word that is encoded at once, bytes of the pieces of a longer one, and tokens on each side of a cut.
 LONG, PIECE, AROUND = 2_000, 512, 16
 
@@ -99,7 +99,7 @@ class Coder:
                     left.append(a)
                     right.append(b)
                     rank.append(r)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = pa.table({"pair": (np.array(left, np.int64) << 32) + np.array(right, np.int64), "rank": pa.array(rank, pa.int32())})
         vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "chars": [t.decode("latin-1") for t in ranks]})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
@@ -226,7 +226,7 @@ def _run(texts: DataFrame, columns: list[str], path: str, pattern: str, finish,
         coder = None
         try:
             for batch in batches:
-                for part in chunks(batch, columns[-1], 4 << 20):
+                for part in chunks(batch, columns[-1], 1 << 20):
                     coder = coder or Coder(ranks.value, pattern)
                     yield pa.RecordBatch.from_arrays(finish(coder, part), schema=arrow)
         finally:  # a Python worker outlives its task: what the task knew is given back

@@ -154,6 +154,18 @@ def give_back() -> None:
         trim(0)
 
 
+def tidy(run):
+    """run, a function of mapInArrow, which gives its memory back when its task ends."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def scratch(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in spark.checkpoint.dir.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, spans, text_bytes, written
+from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, spans, text_bytes, tidy, written
 
 _STEP = 4 << 20
 #: Sizes over this are measured as one, as lists only.
@@ -160,7 +160,7 @@ def _postings(docs: DataFrame, width: int, percent: int, boundary: int, heavy: n
                 d = doc[r]
                 yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(sets.ids[d].view(np.int64)), pa.array(sets.counts[d].astype(np.int32)), pa.array(place[r].astype(np.int32))], ["key", "sid", "n", "at"])
 
-    return docs.mapInArrow(run, "key long, sid long, n int, at int")
+    return docs.mapInArrow(tidy(run), "key long, sid long, n int, at int")
 
 
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
@@ -210,7 +210,7 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, s, n, at, s[c], n[c], at[c])], ["key", "sid", "n", "at", "hub", "hub_n", "hub_at"])
 
     parts = partitions(postings.sparkSession)
-    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(run, "key long, sid long, n int, at int, hub long, hub_n int, hub_at int")
+    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(tidy(run), "key long, sid long, n int, at int, hub long, hub_n int, hub_at int")
 
 
 def _sketch(hashes: np.ndarray) -> bytes:
@@ -259,7 +259,7 @@ def _forms(docs: DataFrame, width: int, wanted: DataFrame, form) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(sets.ids[rows].view(np.int64)), pa.array(items, pa.binary())], ["sid", "items"])
 
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long"))).alias("key"))
-    return keyed.mapInArrow(run, "sid long, items binary").join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
+    return keyed.mapInArrow(tidy(run), "sid long, items binary").join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
 
 
 def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataFrame:
@@ -294,7 +294,7 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataF
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.int32()) * 2)], ["a", "an", "b", "bn"])
 
-    return rows.repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", "member", "b").mapInArrow(run, "a long, an int, b long, bn int")
+    return rows.repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", "member", "b").mapInArrow(tidy(run), "a long, an int, b long, bn int")
 
 
 def similar_components(documents: DataFrame, width: int = 5, percent: int = 80, share: int = 16, heavy: int = 2, edge_cost: float = 16.0, boundary: int | None = None) -> DataFrame:
@@ -326,7 +326,7 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
                 items = [sets.hash[e - n : e].tobytes() if u else None for u, e, n in zip(use.tolist(), ends.tolist(), sets.counts.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.counts.astype(np.int64)), pa.array(sets.ids.view(np.int64)), pa.array(items, pa.binary())], ["doc_id", "n_shingles", "sid", "items"])
 
-    first = tables.written(docs.mapInArrow(first_pass, "doc_id long, n_shingles long, sid long, items binary"))
+    first = tables.written(docs.mapInArrow(tidy(first_pass), "doc_id long, n_shingles long, sid long, items binary"))
     members = first.select("doc_id", "n_shingles", "sid")
     classes = members.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
     sample = tables.written(first.where("items IS NOT NULL").select("sid", "items").dropDuplicates(["sid"]))
