@@ -263,7 +263,7 @@ def _forms(docs: DataFrame, width: int, wanted: DataFrame, form) -> DataFrame:
     return keyed.mapInArrow(tidy(run), "sid long, items binary").join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
 
 
-def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataFrame:
+def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common, tables: Tables) -> DataFrame:
     """The pairs (a, an, b, bn) of sets and sizes that common, the overlap of two forms (sid, items), lets link.
 
     Members of a large star are dealt to several tasks, each with the centre's form.
@@ -272,8 +272,8 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int, common) -> DataF
     fans = pairs.groupBy("a").agg((F.count("*") / 512).cast("int").alias("fan")).where("fan > 0")
     if (large := fans.count()) <= 100_000:  # else Spark chooses, and splits skewed keys
         fans = F.broadcast(fans)
-    dealt = pairs.join(fans, "a", "left") if large else pairs.withColumn("fan", F.lit(0))
-    dealt = dealt.withColumn("fan", F.coalesce("fan", F.lit(0))).withColumn("part", F.pmod(F.xxhash64("b"), F.col("fan") + 1).cast("int"))
+    part = F.pmod(F.xxhash64("b"), F.coalesce("fan", F.lit(0)) + 1).cast("int").alias("part")
+    dealt = tables.written(pairs.join(fans, "a", "left").select("a", "an", "b", "bn", part)) if large else pairs.withColumn("part", F.lit(0))
     # a centre's form is copied to its parts before it meets the members
     copies = dealt.groupBy("a", "part").agg(F.first("an").alias("n")).join(forms.withColumnRenamed("sid", "a"), "a")
     members = dealt.select("a", "part", F.lit(True).alias("member"), "b", F.col("bn").alias("n")).join(forms.withColumnRenamed("sid", "b"), "b")
@@ -347,15 +347,15 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
 
     def check(pairs: DataFrame) -> bool:
-        """Joins the components that links among the pairs connect; whether there were any."""
+        """Joins the components that links among the pairs, of different components, connect; whether there were any."""
         nonlocal roots
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
         rooted = lambda df: df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
-        near = tables.written(_verified(tables.written(rooted(pairs).where("ra <> rb").select("a", "an", "b", "bn")), sketches, percent, _most_common))
+        near = tables.written(_verified(tables.written(pairs), sketches, percent, _most_common, tables))
         if near.isEmpty():
             return False
         wholes = tables.written(_forms(docs, width, wanted.join(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid", "left_semi"), np.ndarray.tobytes))
-        links = tables.written(rooted(_verified(near, wholes, percent, _common)).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        links = tables.written(rooted(_verified(near, wholes, percent, _common, tables)).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         if links.isEmpty():
             return False
         step = components(links, tables)
@@ -369,7 +369,7 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
     while True:
         # lists that still meet sets of several components
         placed = lists.select("key", "sid", "n", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n", "at"), F.xxhash64("sid", "key", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
+        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n", "at", "root"), F.xxhash64("sid", "key", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
         rest = tables.written(placed.join(mixed, "key").select("key", F.struct("sid", "n", "at").alias("own"), "root", "hub"))
         # pairs across components, before those of several lists are told apart
         shares = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
@@ -377,15 +377,15 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
         if not size.rows:
             break
         # long lists: stars around other centres first, others in each list, as long as they spare a quarter of the pairs
-        if size.pairs > 4 * size.rows and size.pairs <= 0.75 * before:
-            check(_near(rest.where("own.sid <> hub.sid").select(F.col("hub").alias("a"), F.col("own").alias("b")), percent))
+        if size.pairs > 16 * size.rows and size.pairs <= 0.75 * before:
+            check(_near(rest.where("root <> hub.root").select(F.col("hub").alias("a"), F.col("own").alias("b")), percent))
             before, turn = size.pairs, turn + 1
             continue
         other = rest.select("key", F.col("own").alias("b"), F.col("root").alias("rb"))
         pairs = rest.select("key", F.col("own").alias("a"), "root").join(other, "key").where("a.sid < b.sid and root <> rb")
         part = F.pmod(F.xxhash64("a.sid", "b.sid"), F.lit(8))
         # an eighth of many pairs first: what it joins spares most of the others
-        if size.pairs > 4 * size.rows and not first_part:
+        if size.pairs > 16 * size.rows and not first_part:
             check(_near(pairs.where(part == 0), percent))
             first_part = True
             continue
