@@ -11,9 +11,18 @@ mixed probability is refined by a table of what happened at that probability
 after the last byte. Weights and refinement are learned on one fold of the
 training texts with tables of the others; the tables then take in that fold.
 
+The bit tables have a fixed size, so what grows with the corpus is a table of
+passages: a text is cut after each word whose hash is divisible by `every`, and
+every passage of the training texts is counted under a 64-bit hash. A passage's
+probability is the mixture (1 - g) * bits + g * c / N: the bits' product, and
+the share of its c copies among N passages. The gate g is the share of the
+passages of the learning fold that the other folds have. A training text does
+not count its own copies, so texts that occur once and texts that occur again
+are told apart.
+
 Beside the model, each text gets an add-one unigram score from the counts of
 all words of the training texts: the most common words travel as a table of
-fixed size, all others meet their counts in a shuffle.
+fixed size, all others meet their counts in a shuffle, and so do passages.
 """
 
 from __future__ import annotations
@@ -26,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import _BYTE, Words, chunks, first_of_runs, partitions, prefix, spans, text_bytes, written
+from quorate.llm.common import _BYTE, Tables, Words, _mix, chunks, first_of_runs, partitions, prefix, spans, text_bytes, written
 
 _STEP = 1 << 21
 _TREE = 128  # least cells for each context: symbols when counting, nodes when scoring; twice as many for over 126 kinds of byte
@@ -204,8 +213,31 @@ def _texts(documents: DataFrame) -> DataFrame:
 _END = int(spans(prefix(_BYTE[np.frombuffer(b" ", np.uint8)]), np.array([0]), np.array([1])).view(np.int64)[0])  # no word is a space
 
 
-def _counts(train: DataFrame) -> DataFrame:
-    """Rows (h, c) of words and the end, and rows (byte, c); 256 stands for texts."""
+def passages(words: Words, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first byte and hash of each passage; they tile the texts, and the last one takes in the end."""
+    cut = np.flatnonzero((words.hashes[:-1] % np.uint64(every) == 0) & (words.doc[1:] == words.doc[:-1])) + 1
+    doc = np.concatenate([np.arange(len(words.off) - 1), words.doc[cut]])
+    start = np.concatenate([words.off[:-1], words.start[cut]])
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    last = np.append(doc[1:] != doc[:-1], True)
+    end = np.where(last, words.off[doc + 1], np.append(start[1:], 0))
+    return doc, start, _mix(spans(prefix(_BYTE[words.raw]), start, end) + np.where(last, np.uint64(2), np.uint64(1)))
+
+
+def gains(copies: np.ndarray, score: np.ndarray, gate: float, total: int) -> np.ndarray:
+    """What the table of passages adds to log10 of their probability by bits (score)."""
+    if not gate:
+        return np.zeros(len(score))
+    out = np.full(len(score), np.log10(1 - gate))
+    at = np.flatnonzero(copies > 0)
+    found = np.log(gate * copies[at] / total) - score[at] * np.log(10)
+    out[at] = np.logaddexp(np.log(1 - gate), found) / np.log(10)
+    return out
+
+
+def _counts(train: DataFrame, held: int, every: int) -> DataFrame:
+    """Rows (h, c) of words and the end, rows (h, c, inner) of passages, inner in the fold `held`, and rows (byte, c); 256 stands for texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(257, np.int64)
@@ -215,11 +247,17 @@ def _counts(train: DataFrame) -> DataFrame:
                 total[:256] += np.bincount(words.raw, minlength=256)
                 total[256] += part.num_rows
                 h, c = np.unique(words.hashes, return_counts=True)
-                h, c = np.append(h.view(np.int64), _END), np.append(c, part.num_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.nulls(len(h), pa.int32()), pa.array(c)], ["h", "byte", "c"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(257, pa.int64()), pa.array(np.arange(257, dtype=np.int32)), pa.array(total)], ["h", "byte", "c"])
+                doc, _, keys = passages(words, every)
+                keys, at, times = np.unique(keys, return_inverse=True, return_counts=True)
+                inner = np.bincount(at, (part.column(2).to_numpy(zero_copy_only=False) == held)[doc], len(keys)).astype(np.int64)
+                kind = np.repeat([False, True], [len(h) + 1, len(keys)])
+                inner = np.concatenate([np.zeros(len(h) + 1, np.int64), inner])
+                h, c = np.concatenate([h.view(np.int64), [_END], keys.view(np.int64)]), np.concatenate([c, [part.num_rows], times])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(kind), pa.nulls(len(h), pa.int32()), pa.array(c), pa.array(inner)], ["h", "passage", "byte", "c", "inner"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(257, pa.int64()), pa.nulls(257, pa.bool_()), pa.array(np.arange(257, dtype=np.int32)), pa.array(total), pa.nulls(257, pa.int64())], ["h", "passage", "byte", "c", "inner"])
 
-    return train.mapInArrow(run, "h long, byte int, c long").groupBy("h", "byte").agg(F.sum("c").alias("c"))
+    rows = train.mapInArrow(run, "h long, passage boolean, byte int, c long, inner long")
+    return rows.groupBy("h", "passage", "byte").agg(F.sum("c").alias("c"), F.sum("inner").alias("inner"))
 
 
 def _context_counts(train: DataFrame, code: Code, held: int) -> dict[bool, np.ndarray]:
@@ -284,25 +322,34 @@ def _learned(fold: DataFrame, tables: np.ndarray, code: Code) -> Mixer:
     return Mixer(weights.astype(np.float32), total[n + code.tree :].reshape(2, code.tree, _BUCKETS))
 
 
-def score_documents(documents: DataFrame, held_out: int = 2, inner: int = 6, common: int = 1 << 18) -> DataFrame:
+def score_documents(documents: DataFrame, held_out: int = 2, inner: int = 6, common: int = 1 << 18, every: int = 16) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row.
 
     Learns from rows whose fold (fold_of) is not held_out. Null or empty text:
     the end alone; bits_per_byte is then null. A null doc_id is in the fold of
     the empty text. Without training rows all counts are 0 and the mixer keeps
     its start. Repeated rows count and score like others; further columns are
-    ignored. common: words whose counts are sent to every task.
+    ignored. common: words and passages whose counts are sent to every task; any
+    other is at most one in `common` of all, so no task meets a hot one. every:
+    words of a passage, on average.
     """
+    with Tables(documents.sparkSession) as tables:
+        return written(_scores(documents, tables, held_out, inner, common, every))
+
+
+def _scores(documents: DataFrame, kept: Tables, held_out: int, inner: int, common: int, every: int) -> DataFrame:
     spark = documents.sparkSession
     texts = _texts(documents)
     train = texts.where(F.col("fold") != held_out)
-    counts = written(_counts(train))
-    words = counts.where("h IS NOT NULL").select("h", "c")
+    counts = kept.written(_counts(train, inner, every))
+    keyed = counts.where("h IS NOT NULL").select("h", "c")
     byte_rows = counts.where("byte IS NOT NULL").select("byte", "c").toArrow()  # 257 rows
     bytes_ = np.zeros(257, np.int64)
     bytes_[byte_rows.column("byte").to_numpy()] = byte_rows.column("c").to_numpy()
-    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("c"), "h").limit(common).toArrow().sort_by("h")
+    sums = [F.coalesce(F.sum(F.when(F.expr(on), F.col(x))), F.lit(0)) for x, on in (("c", "NOT passage"), ("c", "passage"), ("inner", "passage"), ("inner", "passage AND c > inner"))]
+    n, n_passages, asked_inner, found_inner, v = counts.where("h IS NOT NULL").agg(*sums, F.count_if(~F.col("passage"))).first()
+    gate = (found_inner + 0.5) / (asked_inner + 1) if n_passages else 0.0
+    top = keyed.orderBy(F.desc("c"), "h").limit(common).toArrow().sort_by("h")
     known = spark.sparkContext.broadcast((top.column("h").to_numpy(), top.column("c").to_numpy().astype(np.int64)))
 
     code = Code(bytes_)
@@ -316,90 +363,113 @@ def score_documents(documents: DataFrame, held_out: int = 2, inner: int = 6, com
     def keys_of(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         return spans(prefix(_BYTE[raw]), off[:-1], off[1:]).view(np.int64)
 
-    def split(words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of the words, and whether the table has them."""
+    def counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the hashes, and whether the common table has them."""
         h, c = known.value
-        x = words.hashes.view(np.int64)
-        at = np.minimum(np.searchsorted(h, x), len(h) - 1) if len(h) else np.zeros(len(x), np.int64)
-        have = h[at] == x if len(h) else np.zeros(len(x), bool)
-        return np.where(have, c[at], 0) if len(h) else at, have
+        if not len(h):
+            return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        at = np.minimum(np.searchsorted(h, x.view(np.int64)), len(h) - 1)
+        have = h[at] == x.view(np.int64)
+        return np.where(have, c[at], 0), have
+
+    columns = {"doc_id": pa.int64(), "row_key": pa.int64(), "h": pa.int64(), "place": pa.int64(), "x": pa.int64(), "bits": pa.float64(), "fold": pa.int32(), "n_tokens": pa.int64(), "seen": pa.int64(), "logs": pa.float64(), "score": pa.float64(), "n_bytes": pa.int64()}
+
+    def out(**found) -> pa.RecordBatch:
+        size = len(found["doc_id"])
+        return pa.RecordBatch.from_arrays([pa.array(found[k], t) if k in found else pa.nulls(size, t) for k, t in columns.items()], list(columns))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixed = None
-        end = dict(zip(known.value[0].tolist(), known.value[1].tolist(), strict=True)).get(_END, 0)
+        """A row of each text (h null), and rows that ask for counts of its rare words and passages (bits null: a word)."""
+        mixed, end = None, int(counted(np.array([_END]))[0][0])
         for batch in batches:
             for part in chunks(batch, most=_STEP):
                 mixed = model.value[0].astype(np.float32) if mixed is None else mixed
                 _, refined, code = model.value
-                s, cells, off, raw = symbols_of(part.column(1), code)
-                bits = np.add.reduceat(nats(s, cells, mixed, refined, code), off[:-1])
+                s, cells, _, _ = symbols_of(part.column(1), code)
                 words = Words(part.column(1), lower=True)
-                c, have = split(words)
+                keys, ids, fold = keys_of(words.raw, words.off), part.column(0).to_numpy(zero_copy_only=False), part.column(2).to_numpy(zero_copy_only=False)
+                c, have = counted(words.hashes)
                 sums = np.concatenate([[0.0], np.cumsum(np.where(have, np.log10(c + 1.0), 0.0))])
                 seen = np.concatenate([[0], np.cumsum(have & (c > 0))])
                 a, b = words.first[:-1], words.first[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(keys_of(words.raw, words.off)), part.column(2), pa.array(words.counts.astype(np.int64) + 1), pa.array(seen[b] - seen[a] + (end > 0)), pa.array(sums[b] - sums[a] + np.log10(end + 1.0)), pa.array(-bits / np.log(10)), pa.array(np.diff(words.off))],
-                    ["doc_id", "row_key", "fold", "n_tokens", "seen", "logs", "score", "n_bytes"],
-                )
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, most=2 * _STEP):
-                words = Words(part.column(1), lower=True)
-                _, have = split(words)
+                doc, start, h = passages(words, every)
+                bits = -np.add.reduceat(nats(s, cells, mixed, refined, code), start + doc) / np.log(10)
+                order = np.lexsort((h, doc))
+                new = first_of_runs(doc[order], h[order])
+                run = np.cumsum(new) - 1
+                own = np.empty(len(doc), np.int64)
+                own[order] = np.bincount(run)[run]
+                own[fold[doc] == held_out] = 0
+                copies, there = counted(h)
+                first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                score = np.add.reduceat(bits + gains(copies - own, bits, gate, n_passages), first)
+                yield out(doc_id=ids, row_key=keys, fold=fold, n_tokens=words.counts.astype(np.int64) + 1, seen=seen[b] - seen[a] + (end > 0), logs=sums[b] - sums[a] + np.log10(end + 1.0), score=score, n_bytes=np.diff(words.off))
+
+                at = np.flatnonzero(~there)
+                yield out(doc_id=ids[doc[at]], row_key=keys[doc[at]], h=h[at].view(np.int64), place=start[at] - words.off[doc[at]], x=own[at], bits=bits[at])
                 at = np.flatnonzero(~have)
-                order = np.lexsort((words.hashes[at], words.doc[at]))
-                at = at[order]
+                at = at[np.lexsort((words.hashes[at], words.doc[at]))]
                 new = np.flatnonzero(first_of_runs(words.doc[at], words.hashes[at]))
                 times = np.diff(np.append(new, len(at)))
                 at = at[new]
-                keys, ids = keys_of(words.raw, words.off), part.column(0).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(words.hashes[at].view(np.int64)), pa.array(ids[words.doc[at]]), pa.array(keys[words.doc[at]]), pa.array(times.astype(np.int64))], ["h", "doc_id", "row_key", "x"])
+                yield out(doc_id=ids[words.doc[at]], row_key=keys[words.doc[at]], h=words.hashes[at].view(np.int64), place=np.zeros(len(at), np.int64), x=times.astype(np.int64))
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = (0, 0)  # word and count
+        last = (0, 0)  # key and count
         before = None
         for batch in batches:
-            h, known_, d, k, x = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            h, ask, d, k, place, x, bits = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
             if not len(h):
                 continue
-            # a word's count stands before the texts that ask for it
-            at = np.maximum.accumulate(np.where(known_ == 0, np.arange(len(h)), -1))
-            word = np.where(at >= 0, h[at], last[0])
-            c = np.where(word == h, np.where(at >= 0, x[at], last[1]), 0)
-            last = (int(word[-1]), int(c[-1]) if word[-1] == h[-1] else 0)
-            ask = first_of_runs(h, d, k) & (known_ == 1)  # equal rows ask once
-            if before == (h[0], d[0], k[0]):
-                ask[0] = False
-            before = (h[-1], d[-1], k[-1])
-            order = np.flatnonzero(ask & (c > 0))
+            # a count stands before the texts that ask for it
+            at = np.maximum.accumulate(np.where(ask == 0, np.arange(len(h)), -1))
+            key = np.where(at >= 0, h[at], last[0])
+            c = np.where(key == h, np.where(at >= 0, x[at], last[1]), 0)
+            last = (int(key[-1]), int(c[-1]) if key[-1] == h[-1] else 0)
+            once = first_of_runs(h, d, k, place) & (ask == 1)  # equal rows ask once
+            if before == (h[0], d[0], k[0], place[0]):
+                once[0] = False
+            before = (h[-1], d[-1], k[-1], place[-1])
+            word = np.isnan(bits)
+            order = np.flatnonzero(once & (c > np.where(word, 0, x)))
             order = order[np.lexsort((k[order], d[order]))]
             if len(order):
                 new = np.flatnonzero(first_of_runs(d[order], k[order]))
-                yield pa.RecordBatch.from_arrays([pa.array(d[order][new]), pa.array(k[order][new]), pa.array(np.add.reduceat(x[order], new)), pa.array(np.add.reduceat(x[order] * np.log10(c[order] + 1.0), new))], ["doc_id", "row_key", "seen", "logs"])
-
-    rare = words.select("h", F.lit(0).alias("ask"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("row_key"), F.col("c").alias("x"))
-    asking = texts.mapInArrow(asked, "h long, doc_id long, row_key long, x long").select("h", F.lit(1).alias("ask"), "doc_id", "row_key", "x")
+                word, c, x, bits = word[order], c[order], x[order], bits[order]
+                more = np.where(word, 0.0, gains(np.where(word, 0, c - x), np.where(word, 0.0, bits), gate, n_passages) - gains(np.zeros(len(c)), bits, gate, n_passages))
+                parts = (np.where(word, x, 0), np.where(word, x * np.log10(c + 1.0), 0.0), more)
+                yield pa.RecordBatch.from_arrays([pa.array(d[order][new]), pa.array(k[order][new]), *(pa.array(np.add.reduceat(p, new)) for p in parts)], ["doc_id", "row_key", "seen", "logs", "gain"])
+
+    names = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double"}
+    rows = kept.written(texts.mapInArrow(scored, ", ".join(f"{k} {names[t]}" for k, t in columns.items())))
+    zero = F.lit(0).cast("long")
+    rare = keyed.select("h", F.lit(0).alias("ask"), zero.alias("doc_id"), zero.alias("row_key"), zero.alias("place"), F.col("c").alias("x"), F.lit(None).cast("double").alias("bits"))
+    asking = rows.where("h IS NOT NULL").select("h", F.lit(1).alias("ask"), "doc_id", "row_key", "place", "x", "bits")
     answers = (
         rare.unionByName(asking)
         .repartition(partitions(spark), "h")
-        .sortWithinPartitions("h", "ask", "doc_id", "row_key")
-        .mapInArrow(answered, "doc_id long, row_key long, seen long, logs double")
+        .sortWithinPartitions("h", "ask", "doc_id", "row_key", "place")
+        .mapInArrow(answered, "doc_id long, row_key long, seen long, logs double, gain double")
         .groupBy("doc_id", "row_key")
-        .agg(F.sum("seen").alias("more_seen"), F.sum("logs").alias("more_logs"))
+        .agg(F.sum("seen").alias("more_seen"), F.sum("logs").alias("more_logs"), F.sum("gain").alias("gain"))
     )
-    rows = texts.mapInArrow(scored, "doc_id long, row_key long, fold int, n_tokens long, seen long, logs double, score double, n_bytes long")
     total = float(n) + (v + 1)
-    return rows.join(answers, ["doc_id", "row_key"], "left").select(
-        F.when(F.col("doc_id") != LAST, F.col("doc_id")).alias("doc_id"),
-        (F.col("fold") == held_out).alias("held_out"),
-        "n_tokens",
-        (F.col("seen") + F.coalesce("more_seen", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(total))).alias("base_score"),
-        "score",
-        F.when(F.col("n_bytes") > 0, -F.col("score") * float(np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
+    score = F.col("score") + F.coalesce("gain", F.lit(0.0))
+    return (
+        rows.where("h IS NULL")
+        .select("doc_id", "row_key", "fold", "n_tokens", "seen", "logs", "score", "n_bytes")
+        .join(answers, ["doc_id", "row_key"], "left")
+        .select(
+            F.when(F.col("doc_id") != LAST, F.col("doc_id")).alias("doc_id"),
+            (F.col("fold") == held_out).alias("held_out"),
+            "n_tokens",
+            (F.col("seen") + F.coalesce("more_seen", F.lit(0))).alias("n_known"),
+            F.lit(n).cast("long").alias("train_tokens"),
+            (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(total))).alias("base_score"),
+            score.alias("score"),
+            F.when(F.col("n_bytes") > 0, -score * float(np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
+        )
     )
 
 

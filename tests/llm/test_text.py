@@ -6,11 +6,14 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
 from quorate.llm import bpe, chat_format, decontam, html_extract, lm_score, quality_rules, secret_scan
+from quorate.llm.common import Words
 from quorate.llm.registry import ORACLES, QUERIES
 
 ODD = [None, "", " \n\t", "word", "é" * 50, "a b " * 400, "\n".join(["same line"] * 20), "x" * 5000, "😀 日本語 text", "w1 w2 w3 w4 w5 " * 3]
@@ -229,7 +232,6 @@ def test_common_subsequence():
 
 
 def test_common_subsequences_of_many_rows():
-    import numpy as np
 
     rng = random.Random(17)
     text = lambda n: " ".join(f"w{rng.randrange(30)}" for _ in range(n))
@@ -291,7 +293,6 @@ def test_short_items_among_words_the_benchmark_lacks(spark):
 
 
 def test_block_sums():
-    import numpy as np
 
     rng = np.random.default_rng(2)
     counts = np.array([0, 5, 8, 0, 17, 1])
@@ -304,7 +305,6 @@ def test_block_sums():
 
 def test_leaks_equal_brute_force(spark):
     """Every window of every document against every item by the common subsequence alone."""
-    import numpy as np
 
     documents, benchmark = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "benchmark"))
     rng = random.Random(12)
@@ -361,8 +361,6 @@ def test_unigram_base(spark):
 
 
 def test_model_is_a_distribution_and_learns(spark):
-    import numpy as np
-    import pyarrow as pa
 
     counts = np.zeros(257, np.int64)
     counts[list(b"ab ")] = (50, 30, 10)
@@ -386,6 +384,44 @@ def test_model_is_a_distribution_and_learns(spark):
     assert lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string").limit(0)).count() == 0
 
 
+def test_passages_tile_the_texts():
+    rng = random.Random(7)
+    texts = [t or "" for t in ODD] + [" ".join(rng.choices(["Aa", "b", "cc", "é", "dd\n"], k=200)) for _ in range(30)]
+    words = Words(pa.array(texts), lower=True)
+    doc, start, h = lm_score.passages(words, 4)
+    ends = [int(start[i + 1]) if i + 1 < len(doc) and doc[i + 1] == d else int(words.off[d + 1]) for i, d in enumerate(doc.tolist())]
+    raw = words.raw.tobytes()
+    pieces = [(d, raw[a:b], b == words.off[d + 1]) for d, a, b in zip(doc.tolist(), start.tolist(), ends, strict=True)]
+    for d, t in enumerate(texts):
+        assert b"".join(x for e, x, _ in pieces if e == d) == t.encode()
+    assert len({(x, last) for _, x, last in pieces}) == len(set(h.tolist())) < len(pieces)
+
+
+def test_texts_that_occur_again_are_told_apart(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 7))) for _ in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, k=200)) for _ in range(90)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500 + i, t) for i, t in enumerate(texts[:30])] + [(900 + i, t) for i, t in enumerate(ODD)]
+    learned = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 != 2}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in lm_score.score_documents(frame).collect()}
+    again = [out[d].bits_per_byte for i in range(30) for d, other in ((i, 500 + i), (500 + i, i)) if other in learned]
+    once = [out[d].bits_per_byte for d in range(30, 90)]
+    assert max(again) < min(once)
+    # the shuffle gives what the common table gives
+    for r in lm_score.score_documents(frame, common=8).collect():
+        assert r.score == pytest.approx(out[r.doc_id].score, rel=1e-9)
+    assert lm_score.score_documents(frame.unionByName(frame)).where("bits_per_byte IS NOT NULL").groupBy("doc_id").count().where("count <> 2").count() == 0
+
+
+def test_gains_are_those_of_a_mixture():
+    bits, copies = np.array([-1.0, -50.0, -900.0, -3.0]), np.array([3, 2, 1, 0])
+    mixed = bits[[0, 1, 3]] + lm_score.gains(copies, bits, 0.25, 1000)[[0, 1, 3]]
+    assert mixed == pytest.approx(np.log10(0.75 * 10.0 ** bits + 0.25 * copies / 1000)[[0, 1, 3]])
+    assert bits[2] + lm_score.gains(copies, bits, 0.25, 1000)[2] == pytest.approx(np.log10(0.25 / 1000))
+    assert not lm_score.gains(copies, bits, 0.0, 0).any()
+
+
 def test_rare_scripts_are_modelled(spark):
     rng = random.Random(4)
     common = [chr(c) for c in (*range(33, 127), *(64 * k + c for k in range(2, 10) for c in range(40)))]  # 143 bytes with the space
