@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import _BYTE, Tables, Words, _mix, chunks, first_of_runs, partitions, prefix, spans, text_bytes, written
+from quorate.llm.common import _BYTE, Tables, Words, _mix, chunks, first_of_runs, partitions, prefix, spans, text_bytes, tidy, written
 
 _STEP = 1 << 21
 _TREE = 128  # least cells for each context: symbols when counting, nodes when scoring; twice as many for over 126 kinds of byte
@@ -213,8 +213,8 @@ def _texts(documents: DataFrame) -> DataFrame:
 _END = int(spans(prefix(_BYTE[np.frombuffer(b" ", np.uint8)]), np.array([0]), np.array([1])).view(np.int64)[0])  # no word is a space
 
 
-def passages(words: Words, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first byte and hash of each passage; they tile the texts, and the last one takes in the end."""
+def passages(words: Words, every: int, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first byte and hash of each passage; they tile the texts, and the last one takes in the end. sums: the bytes' prefix."""
     cut = np.flatnonzero((words.hashes[:-1] % np.uint64(every) == 0) & (words.doc[1:] == words.doc[:-1])) + 1
     doc = np.concatenate([np.arange(len(words.off) - 1), words.doc[cut]])
     start = np.concatenate([words.off[:-1], words.start[cut]])
@@ -222,7 +222,7 @@ def passages(words: Words, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     doc, start = doc[order], start[order]
     last = np.append(doc[1:] != doc[:-1], True)
     end = np.where(last, words.off[doc + 1], np.append(start[1:], 0))
-    return doc, start, _mix(spans(prefix(_BYTE[words.raw]), start, end) + np.where(last, np.uint64(2), np.uint64(1)))
+    return doc, start, _mix(spans(sums, start, end) + np.where(last, np.uint64(2), np.uint64(1)))
 
 
 def gains(copies: np.ndarray, score: np.ndarray, gate: float, total: int) -> np.ndarray:
@@ -242,12 +242,12 @@ def _counts(train: DataFrame, held: int, every: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(257, np.int64)
         for batch in batches:
-            for part in chunks(batch, most=4 * _STEP):
+            for part in chunks(batch, most=_STEP):
                 words = Words(part.column(1), lower=True)
                 total[:256] += np.bincount(words.raw, minlength=256)
                 total[256] += part.num_rows
                 h, c = np.unique(words.hashes, return_counts=True)
-                doc, _, keys = passages(words, every)
+                doc, _, keys = passages(words, every, prefix(_BYTE[words.raw]))
                 keys, at, times = np.unique(keys, return_inverse=True, return_counts=True)
                 inner = np.bincount(at, (part.column(2).to_numpy(zero_copy_only=False) == held)[doc], len(keys)).astype(np.int64)
                 kind = np.repeat([False, True], [len(h) + 1, len(keys)])
@@ -256,7 +256,7 @@ def _counts(train: DataFrame, held: int, every: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(kind), pa.nulls(len(h), pa.int32()), pa.array(c), pa.array(inner)], ["h", "passage", "byte", "c", "inner"])
         yield pa.RecordBatch.from_arrays([pa.nulls(257, pa.int64()), pa.nulls(257, pa.bool_()), pa.array(np.arange(257, dtype=np.int32)), pa.array(total), pa.nulls(257, pa.int64())], ["h", "passage", "byte", "c", "inner"])
 
-    rows = train.mapInArrow(run, "h long, passage boolean, byte int, c long, inner long")
+    rows = train.mapInArrow(tidy(run), "h long, passage boolean, byte int, c long, inner long")
     return rows.groupBy("h", "passage", "byte").agg(F.sum("c").alias("c"), F.sum("inner").alias("inner"))
 
 
@@ -360,9 +360,6 @@ def _scores(documents: DataFrame, kept: Tables, held_out: int, inner: int, commo
         tables[start : start + (1 << code.orders[i])] *= mixer.weights[:, i]
     model = spark.sparkContext.broadcast((tables.ravel().astype(np.float16), mixer.refined(), code))
 
-    def keys_of(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-        return spans(prefix(_BYTE[raw]), off[:-1], off[1:]).view(np.int64)
-
     def counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the hashes, and whether the common table has them."""
         h, c = known.value
@@ -382,18 +379,19 @@ def _scores(documents: DataFrame, kept: Tables, held_out: int, inner: int, commo
         """A row of each text (h null), and rows that ask for counts of its rare words and passages (bits null: a word)."""
         mixed, end = None, int(counted(np.array([_END]))[0][0])
         for batch in batches:
-            for part in chunks(batch, most=_STEP):
+            for part in chunks(batch, most=_STEP // 2):
                 mixed = model.value[0].astype(np.float32) if mixed is None else mixed
                 _, refined, code = model.value
                 s, cells, _, _ = symbols_of(part.column(1), code)
                 words = Words(part.column(1), lower=True)
-                keys, ids, fold = keys_of(words.raw, words.off), part.column(0).to_numpy(zero_copy_only=False), part.column(2).to_numpy(zero_copy_only=False)
+                whole = prefix(_BYTE[words.raw])
+                keys, ids, fold = spans(whole, words.off[:-1], words.off[1:]).view(np.int64), part.column(0).to_numpy(zero_copy_only=False), part.column(2).to_numpy(zero_copy_only=False)
                 c, have = counted(words.hashes)
                 sums = np.concatenate([[0.0], np.cumsum(np.where(have, np.log10(c + 1.0), 0.0))])
                 seen = np.concatenate([[0], np.cumsum(have & (c > 0))])
                 a, b = words.first[:-1], words.first[1:]
 
-                doc, start, h = passages(words, every)
+                doc, start, h = passages(words, every, whole)
                 bits = -np.add.reduceat(nats(s, cells, mixed, refined, code), start + doc) / np.log(10)
                 order = np.lexsort((h, doc))
                 new = first_of_runs(doc[order], h[order])
@@ -442,7 +440,7 @@ def _scores(documents: DataFrame, kept: Tables, held_out: int, inner: int, commo
                 yield pa.RecordBatch.from_arrays([pa.array(d[order][new]), pa.array(k[order][new]), *(pa.array(np.add.reduceat(p, new)) for p in parts)], ["doc_id", "row_key", "seen", "logs", "gain"])
 
     names = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double"}
-    rows = kept.written(texts.mapInArrow(scored, ", ".join(f"{k} {names[t]}" for k, t in columns.items())))
+    rows = kept.written(texts.mapInArrow(tidy(scored), ", ".join(f"{k} {names[t]}" for k, t in columns.items())))
     zero = F.lit(0).cast("long")
     rare = keyed.select("h", F.lit(0).alias("ask"), zero.alias("doc_id"), zero.alias("row_key"), zero.alias("place"), F.col("c").alias("x"), F.lit(None).cast("double").alias("bits"))
     asking = rows.where("h IS NOT NULL").select("h", F.lit(1).alias("ask"), "doc_id", "row_key", "place", "x", "bits")
@@ -450,7 +448,7 @@ def _scores(documents: DataFrame, kept: Tables, held_out: int, inner: int, commo
         rare.unionByName(asking)
         .repartition(partitions(spark), "h")
         .sortWithinPartitions("h", "ask", "doc_id", "row_key", "place")
-        .mapInArrow(answered, "doc_id long, row_key long, seen long, logs double, gain double")
+        .mapInArrow(tidy(answered), "doc_id long, row_key long, seen long, logs double, gain double")
         .groupBy("doc_id", "row_key")
         .agg(F.sum("seen").alias("more_seen"), F.sum("logs").alias("more_logs"), F.sum("gain").alias("gain"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import DATA
 from quorate.llm import bpe, chat_format, decontam, html_extract, lm_score, quality_rules, secret_scan
-from quorate.llm.common import Words
+from quorate.llm.common import _BYTE, Words, prefix
 from quorate.llm.registry import ORACLES, QUERIES
 
 ODD = [None, "", " \n\t", "word", "é" * 50, "a b " * 400, "\n".join(["same line"] * 20), "x" * 5000, "😀 日本語 text", "w1 w2 w3 w4 w5 " * 3]
@@ -388,7 +388,7 @@ def test_passages_tile_the_texts():
     rng = random.Random(7)
     texts = [t or "" for t in ODD] + [" ".join(rng.choices(["Aa", "b", "cc", "é", "dd\n"], k=200)) for _ in range(30)]
     words = Words(pa.array(texts), lower=True)
-    doc, start, h = lm_score.passages(words, 4)
+    doc, start, h = lm_score.passages(words, 4, prefix(_BYTE[words.raw]))
     ends = [int(start[i + 1]) if i + 1 < len(doc) and doc[i + 1] == d else int(words.off[d + 1]) for i, d in enumerate(doc.tolist())]
     raw = words.raw.tobytes()
     pieces = [(d, raw[a:b], b == words.off[d + 1]) for d, a, b in zip(doc.tolist(), start.tolist(), ends, strict=True)]
