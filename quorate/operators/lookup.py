@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +54,21 @@ def ambiguous_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def require_unique(df: DataFrame, key: str, shown: int = 5) -> DataFrame:
+    """df itself; fails, naming the first `shown` keys, where a key would fan out in a join. Null keys join nothing."""
+    many = ambiguous_keys(df.where(F.col(key).isNotNull()), key).orderBy(key).limit(shown).collect()  # shown rows at most
+    if many:
+        raise ValueError(f"{key} is not unique: " + ", ".join(f"{r[0]} ({r.n} rows)" for r in many))
+    return df
+
+
+def changed_rows(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str]) -> int:
+    """How many keys have another value in one of the columns; keys of one side only do not count."""
+    new = after.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(columns)]
+    return before.select(key, *[c for c in columns if c != key]).join(new, F.col(key) == F.col("_k")).where(~reduce(and_, same, F.lit(True))).select("_k").distinct().count()
+
+
 def redirect(df: DataFrame, column: str, history: DataFrame, current: str, former: str) -> DataFrame:
     """Replaces obsolete ids by current ones; history lists former ids for each current one.
 

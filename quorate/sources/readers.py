@@ -6,6 +6,7 @@ import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +80,11 @@ def inline(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
     return spark.createDataFrame(list(rows), schema)
 
 
+def arrow(spark: SparkSession, table: pa.Table) -> DataFrame:
+    """An Arrow table that the driver holds, without a detour by rows."""
+    return spark.createDataFrame(table)
+
+
 def merged(*frames: DataFrame) -> DataFrame:
     """All rows; columns that a frame lacks are null."""
     out = frames[0]

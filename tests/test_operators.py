@@ -145,3 +145,14 @@ def test_prefix_parent_takes_the_longest(spark):
     df = spark.createDataFrame(rows, "id int, host string, path string")
     out = {r.id: r.parent for r in lookup.prefix_parent(df, df, "host", "path", "id").collect()}
     assert out == {1: 7, 2: 1, 3: 2, 4: 3, 8: 1}
+
+
+def test_fan_out_guard_fails_and_changes_are_counted(spark):
+    look = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k long, v string")
+    assert lookup.require_unique(look, "k").count() == 4
+    with pytest.raises(ValueError, match=r"k is not unique: 2 \(3 rows\)"):
+        lookup.require_unique(look.unionByName(look.where("k = 2")).unionByName(look.where("k = 2")), "k")
+    target = spark.createDataFrame([(1, "a", 1), (2, None, 2), (3, "c", 3)], "k long, v string, w int")
+    after = lookup.update_from(target, spark.createDataFrame([(1, "a"), (2, "x"), (4, "y")], "k long, v string"), "k", ["v"])
+    assert lookup.changed_rows(target, after, "k", ["v", "w"]) == 1
+    assert lookup.changed_rows(target, target, "k", ["k", "v", "w"]) == 0

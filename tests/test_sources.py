@@ -1,6 +1,7 @@
 import gzip
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,8 @@ def test_stream_keeps_each_event_once(spark, tmp_path):
     q = jobs.distinct_events(stream, "event_id", "ts", "3650 days").writeStream.format("memory").queryName("once").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination(120)
     assert spark.table("once").count() == events.count()
+
+
+def test_arrow_tables_are_read(spark):
+    table = pa.table({"a": pa.array([1, None], pa.int64()), "b": [["x"], []]})
+    assert [tuple(r) for r in readers.arrow(spark, table).orderBy("a").collect()] == [(None, []), (1, ["x"])]
