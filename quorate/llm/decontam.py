@@ -317,7 +317,7 @@ def _search(docs, items, idf, sampled, width, stride, rank, cosine, sure, perhap
                     product = blocks[k : k + step + many - 1] @ targets.T
                     scores = product[: len(own)].copy()
                     for m in range(1, many):
-                        use = min(len(own), len(product) - m)
+                        use = max(0, min(len(own), len(product) - m))
                         scores[:use] += product[m : m + use]
                         other = np.flatnonzero(doc[k + m : k + m + use] != doc[k : k + use])  # the next text's blocks
                         scores[other] -= product[other + m]

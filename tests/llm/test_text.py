@@ -303,6 +303,16 @@ def test_block_sums():
     assert np.allclose(sums, want, atol=1e-5) and base.tolist() == [0, 0, 1, 2, 2, 5]
 
 
+@pytest.mark.parametrize("sizes", [(1,), (12,), (1, 1), (1, 1, 30)])
+def test_leaks_in_batches_of_few_words(spark, sizes):
+    benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    item = max(benchmark.collect(), key=lambda r: len(r.text.split()))
+    words = item.text.split()
+    rows = [(i, " ".join(words[:n])) for i, n in enumerate(sizes)]
+    found = decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), benchmark.where(F.col("item_id") == item.item_id)).collect()
+    assert [r.doc_id for r in sorted(found)] == [i for i, n in enumerate(sizes) if n >= 0.7 * len(words)]
+
+
 def test_leaks_equal_brute_force(spark):
     """Every window of every document against every item by the common subsequence alone."""
 
