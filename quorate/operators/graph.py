@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorate.functions.collections import union_of_lists
@@ -72,7 +72,8 @@ def backfill_mode(df: DataFrame, ranks: Sequence[str]) -> DataFrame:
 def link_orphans(df: DataFrame, key: str, parent: str, name: str, rank: str, group: str, accepted: str, ids: Column) -> DataFrame:
     """Rows without a parent go to the accepted genus of their first word, or, from three words on, the species of their first two.
 
-    Same group; of several the one with most ids, then the least key.
+    Same group; of several the one with most ids, then the least key. Each name
+    hands on its two best rows only: one of them may be the orphan itself.
     """
     n = F.size(F.split(name, " "))
     orphans = df.where(F.col(parent).isNull()).select(
@@ -80,7 +81,10 @@ def link_orphans(df: DataFrame, key: str, parent: str, name: str, rank: str, gro
     )
     wanted = orphans.select("_k", "_g", "_rank", F.when(F.col("_rank") == "genus", F.col("_one")).otherwise(F.col("_two")).alias("_name")).where("_rank IS NOT NULL")
     have = df.where(accepted).select(F.col(key).alias("_to"), F.col(group).alias("_g"), F.lower(rank).alias("_rank"), F.col(name).alias("_name"), ids.alias("_ids"))
-    best = pick_one(wanted.join(have, ["_g", "_rank", "_name"]).where("_k <> _to"), ["_k"], [F.col("_ids").desc(), F.col("_to")])
+    order = [F.col("_ids").desc(), F.col("_to")]
+    places = Window.partitionBy("_g", "_rank", "_name").orderBy(*order)
+    have = have.where("_to IS NOT NULL").groupBy("_g", "_rank", "_name", "_to").agg(F.max("_ids").alias("_ids")).withColumn("_n", F.row_number().over(places)).where("_n <= 2").drop("_n")
+    best = pick_one(wanted.join(have, ["_g", "_rank", "_name"]).where("_k <> _to"), ["_k"], order)
     return df.join(best.select(F.col("_k").alias(key), "_to"), key, "left").withColumn(parent, F.coalesce(parent, "_to")).drop("_to").select(*df.columns)
 
 

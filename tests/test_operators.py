@@ -156,3 +156,33 @@ def test_fan_out_guard_fails_and_changes_are_counted(spark):
     after = lookup.update_from(target, spark.createDataFrame([(1, "a"), (2, "x"), (4, "y")], "k long, v string"), "k", ["v"])
     assert lookup.changed_rows(target, after, "k", ["v", "w"]) == 1
     assert lookup.changed_rows(target, target, "k", ["k", "v", "w"]) == 0
+
+
+def joined_rows(df):
+    """df's rows, and the most rows that one of its joins made."""
+    rows = df.collect()
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if "Join" in name:
+                most = max(most, node.metrics().apply("numOutputRows").value())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows, most
+
+
+def test_orphans_of_one_name_do_not_meet_in_pairs(spark):
+    rows = [(i, None, "red", "genus", "a", i % 5 > 0, i % 7) for i in range(600)] + [(i, None, "red ring", "species", "a", True, None) for i in range(600, 1200)] + [(2000, None, "red ring", "species", None, True, 9)]
+    df = spark.createDataFrame(rows, "id long, parent long, name string, rank string, g string, ok boolean, n int")
+    found, most = joined_rows(graph.link_orphans(df, "id", "parent", "name", "rank", "g", "ok", F.col("n")))
+    best = min((r for r in rows[:600] if r[5]), key=lambda r: (-r[6], r[0]))[0]
+    assert {r.id: r.parent for r in found} == {r[0]: best if 600 <= r[0] < 2000 else None for r in rows} and most <= 2 * len(rows)
+    own = spark.createDataFrame([(1, None, "red ring", "genus", "a", True, 5), (2, None, "red", "genus", "a", True, 9), (3, None, "red", "genus", "a", True, 9)], df.schema)
+    assert {r.id: r.parent for r in graph.link_orphans(own, "id", "parent", "name", "rank", "g", "ok", F.col("n")).collect()} == {1: 2, 2: None, 3: None}
+    selves = spark.createDataFrame([(k, None, "red ring x", "Species", "a", True, 9 - k) for k in (1, 2, 3)] + [(4, None, "red ring", "species", "a", True, 1)], df.schema)
+    assert {r.id: r.parent for r in graph.link_orphans(selves, "id", "parent", "name", "rank", "g", "ok", F.col("n")).collect()} == {1: 4, 2: 4, 3: 4, 4: None}
