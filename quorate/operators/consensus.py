@@ -70,8 +70,8 @@ def canonical_parents(sources: DataFrame, records: DataFrame, canonical: DataFra
 
     sources: id, parent_raw, kingdom. records: id_raw, name. canonical: id, name, kingdom, accepted.
     """
-    named = sources.join(records.select(F.col("id_raw").alias("parent_raw"), F.col("name").alias("_name")), "parent_raw", "left")
-    c = canonical.where("accepted").select(F.col("id").alias("_c"), F.col("name").alias("_name"), "kingdom")
+    named = sources.join(records.select(F.col("id_raw").alias("parent_raw"), F.col("name").alias("_name")).distinct(), "parent_raw", "left")
+    c = canonical.where("accepted").groupBy(F.col("name").alias("_name"), "kingdom").agg(F.min("id").alias("_c"))
     found = named.join(c, ["_name", "kingdom"], "left")
     w = Window.partitionBy("id").orderBy(F.col("_c").isNull(), "_c", "parent_raw")
     return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("id", F.coalesce("_c", "parent_raw").alias("parent"))

@@ -186,3 +186,11 @@ def test_orphans_of_one_name_do_not_meet_in_pairs(spark):
     assert {r.id: r.parent for r in graph.link_orphans(own, "id", "parent", "name", "rank", "g", "ok", F.col("n")).collect()} == {1: 2, 2: None, 3: None}
     selves = spark.createDataFrame([(k, None, "red ring x", "Species", "a", True, 9 - k) for k in (1, 2, 3)] + [(4, None, "red ring", "species", "a", True, 1)], df.schema)
     assert {r.id: r.parent for r in graph.link_orphans(selves, "id", "parent", "name", "rank", "g", "ok", F.col("n")).collect()} == {1: 4, 2: 4, 3: 4, 4: None}
+
+
+def test_canonical_rows_of_one_name_do_not_fan_out(spark):
+    sources = spark.createDataFrame([(i, i % 3, "a") for i in range(400)] + [(900, 7, "b"), (901, None, "a")], "id long, parent_raw long, kingdom string")
+    records = spark.createDataFrame([(0, "x"), (0, "x"), (1, "x"), (2, "y")], "id_raw long, name string")
+    canonical = spark.createDataFrame([(1000 - i, "x", "a", i < 300) for i in range(400)], "id long, name string, kingdom string, accepted boolean")
+    found, most = joined_rows(consensus.canonical_parents(sources, records, canonical))
+    assert {r.id: r.parent for r in found} == {i: 2 if i % 3 == 2 else 701 for i in range(400)} | {900: 7, 901: None} and most <= 402
