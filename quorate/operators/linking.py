@@ -48,8 +48,9 @@ def link_by_name(target: DataFrame, reference: DataFrame, name: str, popularity:
     """Fills ref_id of unlinked rows by equal name from reference rows that nothing uses yet."""
     used = target.where(F.col(ref_id).isNotNull()).select(ref_id).distinct()
     free = reference.join(used, ref_id, "left_anti").select(F.col(ref_id).alias("_ref"), name, F.col(popularity).alias("_pop"))
-    found = target.where(F.col(ref_id).isNull()).select(key, name).join(free, name)
-    best = pick_one(found, [key], [F.col("_pop").desc_nulls_last(), F.col("_ref")]).select(key, "_ref")
+    order = [F.col("_pop").desc_nulls_last(), F.col("_ref")]
+    found = target.where(F.col(ref_id).isNull()).select(key, name).join(pick_one(free.where("_ref IS NOT NULL"), [name], order), name)
+    best = pick_one(found, [key], order).select(key, "_ref")
     return target.join(best, key, "left").withColumn(ref_id, F.coalesce(ref_id, "_ref")).drop("_ref").select(*target.columns)
 
 

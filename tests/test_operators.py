@@ -194,3 +194,10 @@ def test_canonical_rows_of_one_name_do_not_fan_out(spark):
     canonical = spark.createDataFrame([(1000 - i, "x", "a", i < 300) for i in range(400)], "id long, name string, kingdom string, accepted boolean")
     found, most = joined_rows(consensus.canonical_parents(sources, records, canonical))
     assert {r.id: r.parent for r in found} == {i: 2 if i % 3 == 2 else 701 for i in range(400)} | {900: 7, 901: None} and most <= 402
+
+
+def test_free_rows_of_one_name_do_not_fan_out(spark):
+    target = spark.createDataFrame([(i, "x", None) for i in range(300)] + [(900, "x", 5), (901, "y", None), (902, None, None)], "id long, name string, ref long")
+    reference = spark.createDataFrame([(i, "x", None if i % 9 == 0 else i % 50) for i in range(300)] + [(None, "x", 99)], "ref long, name string, pop int")
+    found, most = joined_rows(linking.link_by_name(target, reference, "name", "pop", "ref"))
+    assert {r.id: r.ref for r in found} == {i: 49 for i in range(300)} | {900: 5, 901: None, 902: None} and most <= 303
