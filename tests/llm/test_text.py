@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -432,6 +433,32 @@ def test_gains_are_those_of_a_mixture():
     assert not lm_score.gains(copies, bits, 0.0, 0).any()
 
 
+def test_contexts_of_a_large_batch_are_counted_in_little_memory():
+    """Twelve megabytes of text in one batch; two executors' cores share their memory with the JVM."""
+
+    class Kept:
+        sparkSession = sparkContext = property(lambda self: self)
+        broadcast = staticmethod(lambda value: type("Shared", (), {"value": value}))
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            raise InterruptedError
+
+    texts = [f"w{i % 97} Ünder the {i} hill " * 60 for i in range(8000)]
+    code = lm_score.Code(np.append(np.bincount(np.frombuffer("".join(texts[:99]).encode(), np.uint8), minlength=256), 99))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8000)), pa.array(texts), pa.array([i % 7 for i in range(8000)], pa.int32())], ["doc_id", "text", "fold"])
+    kept = Kept()
+    with pytest.raises(InterruptedError):
+        lm_score._context_counts(kept, code, 6)
+    tracemalloc.start()
+    rows = list(kept.run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = {held: sum(int(np.frombuffer(x.as_py(), np.uint32).sum()) for r in rows if r.column(0)[0].as_py() == held for x in r.column(3)) for held in (False, True)}
+    symbols = np.array([len(t.encode()) + 1 for t in texts])
+    assert n == {h: 3 * int(symbols[(np.arange(8000) % 7 == 6) == h].sum()) for h in (False, True)} and peak < 300 << 20
+
+
 def test_rare_scripts_are_modelled(spark):
     rng = random.Random(4)
     common = [chr(c) for c in (*range(33, 127), *(64 * k + c for k in range(2, 10) for c in range(40)))]  # 143 bytes with the space
