@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, spans, text_bytes, tidy, written
+from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, release, spans, text_bytes, tidy, written
 
 _STEP = 4 << 20
 #: Sizes over this are measured as one, as lists only.
@@ -165,10 +165,13 @@ def _postings(docs: DataFrame, width: int, percent: int, boundary: int, heavy: n
 
 
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
-    """Lists of two sets or more: (key, sid, n, at, hub, hub_n, hub_at), hub the star's centre within reach of the size."""
+    """Lists of two sets or more: (key, sid, n, at, hub, hub_n, hub_at, two), hub the star's centre within reach of the size.
+
+    two: the list has two sets and no more, so that its star is all of its pairs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None
+        left, cut = None, None
         for batch in batches:
             rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if left is not None:
@@ -181,21 +184,23 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
                 left = rows
                 continue
             if tail == 0:  # cut, but its first set stays so that the parts share a centre
-                yield from out(*rows)
-                left = [x[:1] for x in rows]
+                yield from out(*rows, cut=k[-1])
+                left, cut = [x[:1] for x in rows], k[-1]
                 continue
-            yield from out(*(x[:tail] for x in rows))
+            yield from out(*(x[:tail] for x in rows), cut=cut)
             left = [x[tail:] for x in rows]
         if left is not None:
-            yield from out(*left)
+            yield from out(*left, cut=cut)
 
-    def out(k, s, n, at):
+    def out(k, s, n, at, cut):
         new = first_of_runs(k, s)
         k, s, n, at = k[new], s[new], n[new], at[new]
         head = first_of_runs(k)
         group = np.cumsum(head) - 1
-        many = np.bincount(group, minlength=1)[group] > 1 if len(k) else head
-        k, s, n, at, head = k[many], s[many], n[many], at[many], head[many]
+        size = np.bincount(group, minlength=1)[group]
+        many = size > 1
+        two = (size == 2) & (k != cut) if cut is not None else size == 2
+        k, s, n, at, head, two = k[many], s[many], n[many], at[many], head[many], two[many]
         if not len(k):
             return
         # sizes ascend in a list; a set out of the centre's reach becomes a centre
@@ -208,10 +213,10 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
             first = np.flatnonzero(far)
             centre = np.union1d(centre, first[first_of_runs(own[first])])
         c = centre[own]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, s, n, at, s[c], n[c], at[c])], ["key", "sid", "n", "at", "hub", "hub_n", "hub_at"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, s, n, at, s[c], n[c], at[c], two)], ["key", "sid", "n", "at", "hub", "hub_n", "hub_at", "two"])
 
     parts = partitions(postings.sparkSession)
-    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(tidy(run), "key long, sid long, n int, at int, hub long, hub_n int, hub_at int")
+    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "sid").mapInArrow(tidy(run), "key long, sid long, n int, at int, hub long, hub_n int, hub_at int, two boolean")
 
 
 def _sketch(hashes: np.ndarray) -> bytes:
@@ -349,6 +354,7 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
     def check(pairs: DataFrame) -> bool:
         """Joins the components that links among the pairs, of different components, connect; whether there were any."""
         nonlocal roots
+        release(docs.sparkSession)
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
         rooted = lambda df: df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
         near = tables.written(_verified(tables.written(pairs), sketches, percent, _most_common, tables))
@@ -366,11 +372,13 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
 
     check(_near(lists.where("hub <> sid").select(F.struct(F.col("hub").alias("sid"), F.col("hub_n").alias("n"), F.col("hub_at").alias("at")).alias("a"), F.struct("sid", "n", "at").alias("b")), percent))
     before, turn, first_part = math.inf, 0, False
+    left = lists.where("NOT two").select("key", "sid", "n", "at")
     while True:
-        # lists that still meet sets of several components
-        placed = lists.select("key", "sid", "n", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        # lists that still meet sets of several components; one that does not any more never will
+        placed = left.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n", "at", "root"), F.xxhash64("sid", "key", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
         rest = tables.written(placed.join(mixed, "key").select("key", F.struct("sid", "n", "at").alias("own"), "root", "hub"))
+        left = rest.select("key", "own.*")
         # pairs across components, before those of several lists are told apart
         shares = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
         size = shares.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")).first()
@@ -381,15 +389,19 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
             check(_near(rest.where("root <> hub.root").select(F.col("hub").alias("a"), F.col("own").alias("b")), percent))
             before, turn = size.pairs, turn + 1
             continue
-        other = rest.select("key", F.col("own").alias("b"), F.col("root").alias("rb"))
-        pairs = rest.select("key", F.col("own").alias("a"), "root").join(other, "key").where("a.sid < b.sid and root <> rb")
+        sids = rest.select(F.col("own.sid").alias("sid")).distinct()
+        twos = lists.where("two").groupBy("sid").agg(F.count("*").alias("twos")).join(sids, "sid", "left_semi")
+        counted = rest.select("key", "own.*", "root").join(twos, "sid", "left").select("key", F.struct("sid", "n", "at", F.coalesce("twos", F.lit(0)).alias("twos")).alias("a"), "root")
+        counted = tables.written(counted)
+        other = counted.select("key", F.col("a").alias("b"), F.col("root").alias("rb"))
+        pairs = counted.join(other, "key").where("a.sid < b.sid and root <> rb")
         part = F.pmod(F.xxhash64("a.sid", "b.sid"), F.lit(8))
         # an eighth of many pairs first: what it joins spares most of the others
         if size.pairs > 16 * size.rows and not first_part:
-            check(_near(pairs.where(part == 0), percent))
+            check(_often(pairs.where(part == 0), percent, boundary))
             first_part = True
             continue
-        check(_near(pairs.where(part > 0) if first_part else pairs, percent))
+        check(_often(pairs.where(part > 0) if first_part else pairs, percent, boundary))
         break
 
     named = classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -405,6 +417,23 @@ def _near(pairs: DataFrame, percent: int) -> DataFrame:
     return near.select(F.col("a.sid").alias("a"), F.col("a.n").alias("an"), F.col("b.sid").alias("b"), F.col("b.n").alias("bn")).distinct()
 
 
+def _often(pairs: DataFrame, percent: int, boundary: int) -> DataFrame:
+    """(a, an, b, bn): distinct pairs of entries (sid, n, at, twos) whose sizes, places and number of common lists allow a link.
+
+    pairs: of each list with three sets or more that has both; in lists of two
+    they have been together min(twos) times at most. What two sets over the
+    boundary share beyond their lists lies outside the prefix of the one whose
+    prefix ends first, which leaves ceil(percent / 100 * n) - 1 shingles.
+    """
+    most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")).cast("long")
+    ids = [F.col("a.sid").alias("a"), F.col("a.n").alias("an"), F.col("b.sid").alias("b"), F.col("b.n").alias("bn")]
+    met = pairs.groupBy(*ids).agg(F.max(most).alias("most"), F.count("*").alias("lists"), F.min(F.least("a.twos", "b.twos")).alias("twos"))
+    beyond = F.ceil(percent * F.greatest("an", "bn").cast("long") / 100) - 1
+    small = F.least("an", "bn") <= boundary
+    most = F.when(small, F.col("most")).otherwise(F.least("most", F.col("lists") + F.col("twos") + beyond))
+    return met.where((100 + percent) * most >= percent * (F.col("an") + F.col("bn"))).select("a", "an", "b", "bn")
+
+
 def op2(spark, sf_dir) -> DataFrame:
     """Set size and component of each document."""
     return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -185,3 +185,35 @@ def test_suffix_query(spark):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     out = {r.doc_id: tuple(r)[1:] for r in QUERIES["op10_suffix_dedup"](spark, DATA).collect()}
     assert out == sa_dedup.brute_force(rows)
+
+
+def test_pairs_that_meet_too_seldom_are_no_candidates(spark, monkeypatch):
+    """Texts around the threshold: all pairs lost by the number of common lists are no links."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words[: rng.choice([100, 120])]))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    kept = []
+    often = ngram_join._often
+
+    def counted(pairs, percent, boundary):
+        out = often(pairs, percent, boundary)
+        kept.append((out.count(), ngram_join._near(pairs, percent).count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_often", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.similar_components(df, boundary=0).collect()}
+    root = list(range(150))
+    for a in range(150):
+        for b in range(a):
+            same = len(sets[a] & sets[b])
+            if 100 * same >= 80 * (len(sets[a]) + len(sets[b]) - same):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert found == dict(enumerate(root)) and kept and sum(x for x, _ in kept) < sum(y for _, y in kept)
