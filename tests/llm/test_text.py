@@ -304,6 +304,46 @@ def test_block_sums():
     assert np.allclose(sums, want, atol=1e-5) and base.tolist() == [0, 0, 1, 2, 2, 5]
 
 
+@pytest.mark.parametrize("sparse", [{}, {"dense_cells": 0}, {"dense_cells": 0, "most": 40}])
+def test_every_passage_counts_in_the_svd(spark, sparse):
+    """Sums over all passages of all texts, more than any sample held, against counting them one by one."""
+    rng = random.Random(31)
+    texts = [" ".join(rng.choice("abcdefghijkl") + rng.choice("xy") for _ in range(rng.choice([0, 1, 3, 4, 5, 40]))) for _ in range(12_000)] + [None]
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "xy"]
+    terms = [int(t) for t in decontam._terms(Words(pa.array(names)))]
+    place = np.full(decontam._TERMS, -1, np.int32)
+    place[terms] = np.arange(len(names))
+    v, number = len(names), {n: i for i, n in enumerate(names)}
+    having, times, pairs, total = np.zeros(v, int), np.zeros(v, int), np.zeros((v, v), int), 0
+    for t in texts:
+        w = (t or "").split()
+        for k in range(0, len(w), 4):
+            own = [number[x] for x in w[k : k + 4] if x in number]
+            total += 1
+            having[list(set(own))] += 1
+            for j, y in enumerate(own):
+                times[y] += 1
+                for x in own[:j]:
+                    pairs[x, y] += 1
+    assert total > 8192
+    cells = decontam._cells(docs(spark, texts).select("doc_id", "text").repartition(3), place, 4, **sparse).localCheckpoint()
+    rows = {r.b: decontam._unpacked(bytes(r.n), r.b, v) for r in cells.collect()}
+    assert rows.pop(-1).tolist() == [*having, *times, total]
+    assert np.array_equal(rows[0].reshape(v, v), pairs) and len(rows) == 1
+    omega = np.random.default_rng(3).normal(size=(v, 5)).astype(np.float32)
+    assert np.allclose(decontam._products(cells, omega), (pairs + pairs.T) @ omega, rtol=1e-3, atol=1)
+
+
+def test_the_svd_takes_no_sample(spark, monkeypatch):
+    """Each passage of each document reaches the counts that the SVD is fitted on."""
+    seen, plain = [], decontam._unpacked
+    monkeypatch.setattr(decontam, "_unpacked", lambda n, b, v: seen.append((b, plain(n, b, v))) or plain(n, b, v))
+    texts = [f"alpha beta w{i}" for i in range(20_000)]
+    decontam.find_leaks(docs(spark, texts), spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")).count()
+    (found,) = [x for b, x in seen if b < 0]
+    assert found[-1] == 20_000 and sorted(found[:3].tolist()) == [0, 20_000, 20_000]
+
+
 @pytest.mark.parametrize("sizes", [(1,), (12,), (1, 1), (1, 1, 30)])
 def test_leaks_in_batches_of_few_words(spark, sizes):
     benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
