@@ -344,6 +344,16 @@ def test_the_svd_takes_no_sample(spark, monkeypatch):
     assert found[-1] == 20_000 and sorted(found[:3].tolist()) == [0, 20_000, 20_000]
 
 
+def test_what_common_words_alone_suggest_is_no_candidate():
+    """The bound counts an item's words, not how often the text repeats one of them."""
+    items = decontam._Items([0], ["the cat and the dog met on some long road"], 32, 8)
+    at = {w: int(n) for w, n in zip("the cat and the dog met on some long road".split(), items.words[0], strict=True)}
+    numbers = np.array([at["the"]] * 20 + [at["cat"], at["dog"], at["met"]])
+    one = np.array([0])
+    assert not items.enough(one, one, np.array([20]), numbers, 0.5)[0]
+    assert items.enough(one, one, np.array([23]), numbers, 0.5)[0]
+
+
 @pytest.mark.parametrize("sizes", [(1,), (12,), (1, 1), (1, 1, 30)])
 def test_leaks_in_batches_of_few_words(spark, sizes):
     benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
