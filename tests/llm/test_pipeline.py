@@ -42,3 +42,13 @@ def test_rows_without_an_id_or_with_a_shared_one(spark):
     odd = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     out = corpus_pipeline.quality(spark, docs.unionByName(odd).unionByName(odd.limit(1)), DATA).where("doc_id IS NULL OR doc_id >= 1000000000").collect()
     assert sorted(map(repr, ((r.doc_id, r.text) for r in out))) == sorted(map(repr, [(None, good), (None, good), (10**9, good + " one")]))
+
+
+def test_decontamination_counts_every_passage(spark, tmp_path, monkeypatch):
+    """The stage's SVD is fitted on all passages of what reaches it, not on a sample."""
+    seen, plain = [], decontam._unpacked
+    monkeypatch.setattr(decontam, "_unpacked", lambda n, b, v: seen.append((b, plain(n, b, v))) or plain(n, b, v))
+    docs = spark.createDataFrame([(i, f"alpha beta w{i}") for i in range(20_000)], "doc_id long, text string")
+    spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).count()
+    assert [x[-1] for b, x in seen if b < 0] == [20_000]
