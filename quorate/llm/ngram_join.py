@@ -347,38 +347,45 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
     if boundary is None:
         boundary = choose_boundary(_measured(sample, percent, often), share, percent, edge_cost)
     lists = tables.written(_lists(_postings(docs, width, percent, boundary, often), percent))
+    release(docs.sparkSession)  # the shuffle of all postings
     wanted = tables.written(classes.join(lists.select("sid").distinct(), "sid", "left_semi"))
     sketches = tables.written(_forms(docs, width, wanted, _sketch))
-    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    roots, roots_path = docs.sparkSession.createDataFrame([], "node long, root long"), None
 
     def check(pairs: DataFrame) -> bool:
         """Joins the components that links among the pairs, of different components, connect; whether there were any."""
-        nonlocal roots
+        nonlocal roots, roots_path
         release(docs.sparkSession)
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
         rooted = lambda df: df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
-        near = tables.written(_verified(tables.written(pairs), sketches, percent, _most_common, tables))
-        if near.isEmpty():
-            return False
-        wholes = tables.written(_forms(docs, width, wanted.join(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid", "left_semi"), np.ndarray.tobytes))
-        links = tables.written(rooted(_verified(near, wholes, percent, _common, tables)).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-        if links.isEmpty():
-            return False
-        step = components(links, tables)
-        moved = roots.join(step.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
-        fresh = step.join(roots.select("node"), "node", "left_anti").select("node", "root")
-        roots = tables.written(moved.unionByName(fresh))
+        with Tables(docs.sparkSession) as own:  # the round's tables go with it
+            near = own.written(_verified(own.written(pairs), sketches, percent, _most_common, own))
+            if near.isEmpty():
+                return False
+            wholes = own.written(_forms(docs, width, wanted.join(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid", "left_semi"), np.ndarray.tobytes))
+            links = own.written(rooted(_verified(near, wholes, percent, _common, own)).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+            if links.isEmpty():
+                return False
+            step = components(links, own)
+            moved = roots.join(step.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+            fresh = step.join(roots.select("node"), "node", "left_anti").select("node", "root")
+            roots, before = tables.written(moved.unionByName(fresh)), roots_path
+            roots_path = tables.paths[-1]
+        if before:
+            tables.drop(before)
         return True
 
     check(_near(lists.where("hub <> sid").select(F.struct(F.col("hub").alias("sid"), F.col("hub_n").alias("n"), F.col("hub_at").alias("at")).alias("a"), F.struct("sid", "n", "at").alias("b")), percent))
-    before, turn, first_part = math.inf, 0, False
+    before, turn, first_part, left_path = math.inf, 0, False, None
     left = lists.where("NOT two").select("key", "sid", "n", "at")
     while True:
         # lists that still meet sets of several components; one that does not any more never will
         placed = left.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"), F.min_by(F.struct("sid", "n", "at", "root"), F.xxhash64("sid", "key", F.lit(turn))).alias("hub")).where("low <> high and many > 2")
         rest = tables.written(placed.join(mixed, "key").select("key", F.struct("sid", "n", "at").alias("own"), "root", "hub"))
-        left = rest.select("key", "own.*")
+        left, older, left_path = rest.select("key", "own.*"), left_path, tables.paths[-1]
+        if older:
+            tables.drop(older)
         # pairs across components, before those of several lists are told apart
         shares = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
         size = shares.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")).first()

@@ -217,3 +217,18 @@ def test_pairs_that_meet_too_seldom_are_no_candidates(spark, monkeypatch):
                 low, high = sorted((root[a], root[b]))
                 root = [low if r == high else r for r in root]
     assert found == dict(enumerate(root)) and kept and sum(x for x, _ in kept) < sum(y for _, y in kept)
+
+
+def test_a_round_leaves_no_tables_behind(spark, corpus, monkeypatch):
+    """Pairs, forms and links of a round go with it; older components and lists too."""
+    left = []
+
+    class Watched(ngram_join.Tables):
+        def __exit__(self, *error):
+            left.append(len(self.paths))
+            super().__exit__(*error)
+
+    monkeypatch.setattr(ngram_join, "Tables", Watched)
+    d = frame(spark, corpus)
+    assert {r.doc_id: r.component_id for r in ngram_join.similar_components(d, boundary=0).collect()} == {k: v[1] for k, v in brute_components(corpus).items()}
+    assert len(left) > 2 and left[-1] <= 9  # six tables for all rounds, the components, what is left of the lists, and its last form
