@@ -12,19 +12,33 @@ and empty ones); an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorate.llm import bpe, decontam, ngram_join, quality_rules, secret_scan
-from quorate.llm.common import delete, ready
+from quorate.llm.common import delete, ready, release
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _afresh(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, after the driver's garbage of the stages before it is collected: the heap that it held goes back to the system."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@_afresh
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality rules keep; a row is known by its id and a hash of what is judged."""
     row = F.xxhash64("doc_id", "text", "lang")
@@ -33,23 +47,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (row == F.col("_row")), "left_anti").select(*docs.columns)
 
 
+@_afresh
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group of near copies."""
     groups = ngram_join.similar_components(docs)
     return docs.join(groups.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+@_afresh
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     leaks = decontam.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
     return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+@_afresh
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with its secrets replaced; n_chars follows the new text."""
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@_afresh
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
     import public_tokenizers

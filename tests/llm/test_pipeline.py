@@ -52,3 +52,12 @@ def test_decontamination_counts_every_passage(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).count()
     assert [x[-1] for b, x in seen if b < 0] == [20_000]
+
+
+def test_the_driver_gives_memory_back_before_each_stage(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(corpus_pipeline, "release", calls.append)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:4], 1):
+        stage(spark, docs, DATA)
+        assert len(calls) == n
