@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, prefix, release, spans, text_bytes, tidy, written
+from quorate.llm.common import Tables, Words, _mix, bitmap, bits_for, chunks, components, first_of_runs, hits, partitions, passing, prefix, release, spans, text_bytes, tidy, written
 
 _STEP = 4 << 20
 #: Sizes over this are measured as one, as lists only.
@@ -318,7 +318,7 @@ def similar_components(documents: DataFrame, width: int = 5, percent: int = 80,
     what links. edge_cost: a candidate took about 50 microseconds, a row 3, on
     0.5 GB. boundary: the largest small set, instead of the measured one.
     """
-    with Tables(documents.sparkSession) as tables:
+    with passing(documents.sparkSession), Tables(documents.sparkSession) as tables:
         return written(_components_of(_docs(documents), tables, width, percent, share, heavy, edge_cost, boundary))
 
 
@@ -333,9 +333,12 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.counts.astype(np.int64)), pa.array(sets.ids.view(np.int64)), pa.array(items, pa.binary())], ["doc_id", "n_shingles", "sid", "items"])
 
     first = tables.written(docs.mapInArrow(tidy(first_pass), "doc_id long, n_shingles long, sid long, items binary"))
-    members = first.select("doc_id", "n_shingles", "sid")
+    first_path = tables.paths[-1]
+    members = tables.written(first.select("doc_id", "n_shingles", "sid"))
     classes = members.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
     sample = tables.written(first.where("items IS NOT NULL").select("sid", "items").dropDuplicates(["sid"]))
+    sample_path = tables.paths[-1]
+    tables.drop(first_path)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,6 +349,7 @@ def _components_of(docs: DataFrame, tables: Tables, width: int, percent: int, sh
     often = bitmap(often, "h", bits_for(often.count()))
     if boundary is None:
         boundary = choose_boundary(_measured(sample, percent, often), share, percent, edge_cost)
+    tables.drop(sample_path)  # the postings take the most disk: only what is still read stays beside them
     lists = tables.written(_lists(_postings(docs, width, percent, boundary, often), percent))
     release(docs.sparkSession)  # the shuffle of all postings
     wanted = tables.written(classes.join(lists.select("sid").distinct(), "sid", "left_semi"))

@@ -1,10 +1,12 @@
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
-from quorate.llm import ngram_join, rk_dedup, sa_dedup
+from quorate.llm import common, ngram_join, rk_dedup, sa_dedup
 from quorate.llm.common import components
 
 
@@ -232,3 +234,35 @@ def test_a_round_leaves_no_tables_behind(spark, corpus, monkeypatch):
     d = frame(spark, corpus)
     assert {r.doc_id: r.component_id for r in ngram_join.similar_components(d, boundary=0).collect()} == {k: v[1] for k, v in brute_components(corpus).items()}
     assert len(left) > 2 and left[-1] <= 9  # six tables for all rounds, the components, what is left of the lists, and its last form
+
+
+def test_little_stands_beside_the_postings(spark, corpus, monkeypatch):
+    """Shuffles go with what made them, without a collection of garbage, and tables once nothing reads them."""
+
+    def shuffles():
+        return set(re.findall(r"shuffle_(\d+)_", spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")))
+
+    class Watched(ngram_join.Tables):
+        def __enter__(self):
+            opened.append(self)
+            return super().__enter__()
+
+    def lists(*args):
+        beside.append([spark.read.parquet(p).columns for p in opened[0].paths])
+        return plain_lists(*args)
+
+    def forms(*args):
+        end = time.time() + 20
+        while not left and shuffles() - before and time.time() < end:  # Spark deletes the files beside the run
+            time.sleep(0.1)
+        left.append(shuffles() - before)
+        return plain_forms(*args)
+
+    opened, beside, left, plain_lists, plain_forms = [], [], [], ngram_join._lists, ngram_join._forms
+    for module, name, new in ((ngram_join, "Tables", Watched), (ngram_join, "_lists", lists), (ngram_join, "_forms", forms), (ngram_join, "release", lambda spark: None), (common, "ease", lambda spark: None)):
+        monkeypatch.setattr(module, name, new)
+    d, key = frame(spark, corpus), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(key, None), shuffles()
+    assert {r.doc_id: r.component_id for r in ngram_join.similar_components(d).collect()} == {k: v[1] for k, v in brute_components(corpus).items()}
+    assert left[0] == set() and spark.conf.get(key, None) == setting
+    assert beside == [[["doc_id", "n_shingles", "sid"], ["h", "n"]]]
